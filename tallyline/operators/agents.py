@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.functions.strict_json import is_strict_json, object_is_intact, parse_sealed_object
-from tallyline.functions.text import regex
+from tallyline.functions.text import WHITE_SPACE, regex
 from tallyline.functions.versions import at_least_6, from_1_4_below_6
+from tallyline.operators.pin import pin
 from tallyline.schema import DOWNLOADS, to_struct
 from tallyline.session import store
 
@@ -71,7 +72,7 @@ class Rule:
         if self.guard is not None:
             # The first pattern that matches speaks for the rule.
             found = found & self._first_match(ua, self.guard)
-        return F.coalesce(found, F.lit(False))
+        return found
 
     def value(self, ua: Column, path: str) -> Column:
         """The template's value at a path, for a text the rule accepts."""
@@ -177,8 +178,8 @@ RULES = [
     Rule(
         "os",
         (
-            r"(?:^fetch libfetch/\S+$|^libfetch/\S+$|^OpenBSD ftp$|^MacPorts/?|^NetBSD-ftp/|^slapt-get"
-            r"|^pypi-install/|^slackrepo$|^PTXdist|^GARstow/|^xbps/)",
+            r"^(?:fetch libfetch/\S+$|libfetch/\S+$|OpenBSD ftp$|MacPorts/?|NetBSD-ftp/|slapt-get"
+            r"|pypi-install/|slackrepo$|PTXdist|GARstow/|xbps/)",
         ),
         {"installer.name": "OS"},
     ),
@@ -196,14 +197,15 @@ RULES = [
 
 # Fixed value: agents that are known noise.
 IGNORED_AGENTS = (
-    r"(?:^Datadog Agent/|^\(null\)$|^WordPress/|^Chef (?:Client|Knife)/|^Ruby$|^Slackbot-LinkExpanding"
-    r"|^TextualInlineMedia/|^WeeChat/|^Download Master$|^Java/|^Go \d\.\d package http$|^Go-http-client/"
-    r"|^GNU Guile$|^github-olee$|^YisouSpider$|^Apache Ant/|^Salt/|^ansible-httpget$"
-    r"|^ltx71 - \(http://ltx71.com/\)|^Scrapy/|^spectool/|Nutch|^AWSBrewLinkChecker/|^Y!J-ASR/"
-    r"|^NSIS_Inetc \(Mozilla\)$|^Debian uscan"
-    r"|^Pingdom\.com_bot_version_\d+\.\d+_\(https?://www.pingdom.com/\)$"
-    r"|^MauiBot \(crawler\.feedback\+dc@gmail\.com\)$)"
+    r"^(?:Datadog Agent/|\(null\)$|WordPress/|Chef (?:Client|Knife)/|Ruby$|Slackbot-LinkExpanding"
+    r"|TextualInlineMedia/|WeeChat/|Download Master$|Java/|Go \d\.\d package http$|Go-http-client/"
+    r"|GNU Guile$|github-olee$|YisouSpider$|Apache Ant/|Salt/|ansible-httpget$"
+    r"|ltx71 - \(http://ltx71.com/\)|Scrapy/|spectool/|AWSBrewLinkChecker/|Y!J-ASR/"
+    r"|NSIS_Inetc \(Mozilla\)$|Debian uscan"
+    r"|Pingdom\.com_bot_version_\d+\.\d+_\(https?://www.pingdom.com/\)$"
+    r"|MauiBot \(crawler\.feedback\+dc@gmail\.com\)$)"
 )
+IGNORED_ANYWHERE = "Nutch"
 
 # The first rule of all: from version 6 on, pip describes itself in JSON.
 PIP_JSON = "pip_6"
@@ -222,14 +224,16 @@ def rule_names(rules: list[Rule] = RULES) -> list[str]:
 
 def is_ignored(ua: Column) -> Column:
     """Agents to drop in silence, once no rule has accepted them."""
-    return ua.rlike(regex(IGNORED_AGENTS))
+    return ua.rlike(regex(IGNORED_AGENTS)) | F.contains(ua, F.lit(IGNORED_ANYWHERE))
 
 
 def _pip_json(df: DataFrame, ua: str, on_unknown_key: str) -> DataFrame:
     """Add ``_json_text``, ``_json`` and ``_json_state`` for pip's JSON form."""
-    words = F.when(F.startswith(ua, F.lit("pip/")), F.split(ua, regex(r"\s+"), 2))
-    version = F.substring(F.get("_words", F.lit(0)), 5, 2**31 - 1)
-    text = F.when(at_least_6(version), F.rtrim(F.get("_words", F.lit(1)), F.lit(_JSON_BLANKS)))
+    agent = F.col(ua)
+    # An extract keeps its compiled pattern, a split compiles it for every row.
+    version = F.when(F.startswith(agent, F.lit("pip/")), F.regexp_extract(agent, regex(r"^pip/(\S*)"), 1))
+    rest = F.substr(agent, F.length("_version") + len("pip/") + 1)
+    text = F.when(at_least_6(F.col("_version")), F.rtrim(F.ltrim(rest, F.lit(WHITE_SPACE)), F.lit(_JSON_BLANKS)))
     state = F.when(object_is_intact(F.col("_json"), F.col("_json_text")), PARSED).when(
         is_strict_json(F.col("_json_text")), MALFORMED
     )
@@ -238,11 +242,10 @@ def _pip_json(df: DataFrame, ua: str, on_unknown_key: str) -> DataFrame:
     elif on_unknown_key != "ignore":
         raise ValueError("on_unknown_key is 'ignore' or 'reject'")
     return (
-        df.withColumn("_words", words)
-        .withColumn("_json_text", text)
+        pin(df.withColumn("_version", version), "_json_text", text)
         .withColumn("_json", parse_sealed_object(F.col("_json_text"), _JSON_TYPE))
         .withColumn("_json_state", F.when(F.col("_json_text").isNotNull(), state))
-        .drop("_words")
+        .drop("_version")
     )
 
 
@@ -308,8 +311,7 @@ def classify(
         parsed, _from_rules(DETAILS_TYPE, agent, number, rules)
     )
     done = (
-        _pip_json(df, ua, on_unknown_key)
-        .withColumn("_rule", chain)
+        pin(_pip_json(df, ua, on_unknown_key), "_rule", chain)
         .withColumns(
             {
                 "ua_status": status,

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.text import BLANKS
+from tallyline.operators.pin import pin
 
 # The package types.
 PACKAGE_TYPES = [
@@ -24,8 +25,9 @@ PACKAGE_TYPES = [
 ]
 NULL_TOKEN = "(null)"
 
-_FIELD = r"[\x20-\x7E\t&&[^|@]]+"
-_OPTIONAL = r"[\x20-\x7E\t&&[^|@]]*"
+# Printable ASCII, blank and tab, without "@" and "|".
+_FIELD = r"[ -?A-{}~\t]+"
+_OPTIONAL = r"[ -?A-{}~\t]*"
 # The null token is taken first and never given back, so "(null)x" fits neither.
 _OR_NULL = rf"(?>\(null\)|{_FIELD})"
 _TYPE = rf"(?:\(null\)|{'|'.join(PACKAGE_TYPES)})"
@@ -65,7 +67,7 @@ def split_event(df: DataFrame) -> DataFrame:
     """
     event = F.ltrim("message", F.lit(BLANKS))
     return (
-        df.withColumn("_event", event)
+        pin(df, "_event", event)
         .withColumn("_is_2", F.startswith("_event", F.lit("2@")))
         .withColumn(
             "event_ok",
@@ -120,4 +122,5 @@ def event_fields(df: DataFrame) -> DataFrame:
 
 def has_file_fields() -> Column:
     """Project, version and a known package type are all there."""
-    return F.col("project").isNotNull() & F.col("version").isNotNull() & F.col("type").isin(PACKAGE_TYPES)
+    known = F.coalesce(F.col("type").isin(PACKAGE_TYPES), F.lit(False))
+    return F.col("project").isNotNull() & F.col("version").isNotNull() & known

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.text import BLANKS, expand_tabs, utf8_repair
+from tallyline.operators.pin import pin
 
 MAX_LINE_SIZE = 16384
 
@@ -26,7 +27,8 @@ SEVERITIES = [
 
 _PRIORITY_AND_TIME = r"^<[0-9]{1,3}>[!-~]+\z"
 _HOSTNAME = r"^[!-~]+\z"
-_APP_AND_PROCESS = r"^[!-~&&[^\[]]+\[[!-~&&[^\]]]+\]:\z"
+# Printable ASCII without "[", then without "]".
+_APP_AND_PROCESS = r"^[!-Z\\-~]+\[[!-\\^-~]+\]:\z"
 _ISO_TIME = (
     r"^<[0-9]{1,3}>([0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]{1,6})?)[0-9]*"
     r"(?:Z|[+-][0-9]{2}:[0-9]{2})?\z"
@@ -58,7 +60,7 @@ def strip_token(df: DataFrame, token: str | bytes | None = None) -> DataFrame:
 def decode(df: DataFrame) -> DataFrame:
     """Add ``line``: ``body`` as valid text with tabs expanded."""
     df = df.withColumn("_text", utf8_repair(F.col("body")))
-    return df.withColumn("line", expand_tabs(F.col("_text"))).drop("_text")
+    return pin(df, "line", expand_tabs(F.col("_text"))).drop("_text")
 
 
 def syslog_envelope(df: DataFrame) -> DataFrame:

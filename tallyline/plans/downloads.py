@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.operators import agents, events, lines
+from tallyline.operators.pin import pin
 
 # Reasons in the order they are tested; the first one that holds is given.
 REASONS = [
@@ -64,38 +65,24 @@ def parse_lines(
         .when(~events.has_file_fields(), "missing_file_field")
     )
     df = df.withColumn("reject_reason", event_reason)
-    df = df.withColumn("ua", F.when(F.col("reject_reason").isNull(), F.col("ua")))
+    df = pin(df, "ua", F.when(F.col("reject_reason").isNull(), F.col("ua")))
     df = classify(df)
     agent_reason = (
         F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))
         .when(F.col("ua_status") == agents.MALFORMED, "malformed_details")
         .when(F.col("ua_status") == agents.IGNORED, "ignored_agent")
     )
-    return df.withColumn("reject_reason", agent_reason).drop("body", "line", "oversize", "truncated", "event_ok")
-
-
-def _computed(df: DataFrame, condition: Column) -> DataFrame:
-    """Filter on computed columns without computing them a second time.
-
-    Catalyst moves a filter below projections by repeating their expressions in
-    it, here the whole parse. A column that must not be evaluated twice, named
-    in the condition, keeps the filter where it is.
-    """
-    return (
-        df.withColumn("_row", F.monotonically_increasing_id())
-        .where(condition & (F.col("_row") >= 0))
-        .drop("_row")
-    )
+    return pin(df, "reject_reason", agent_reason).drop("body", "line", "oversize", "truncated", "event_ok")
 
 
 def kept(parsed: DataFrame) -> DataFrame:
     """The rows that are downloads."""
-    return _computed(parsed, F.col("reject_reason").isNull())
+    return parsed.where(F.col("reject_reason").isNull())
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
     """The rows that are not, with their reason."""
-    return _computed(parsed, F.col("reject_reason").isNotNull())
+    return parsed.where(F.col("reject_reason").isNotNull())
 
 
 def assemble(df: DataFrame) -> DataFrame:
