@@ -377,6 +377,11 @@ def _from_rules(struct: T.StructType, ua: Column, number: Column, rules: list[Ru
     return F.when(functools.reduce(operator.or_, [value.isNotNull() for value in columns.values()]), record)
 
 
+def leave_open(df: DataFrame) -> DataFrame:
+    """Stands in for :func:`classify` where agents are only to be collected."""
+    return df.withColumns({"ua_status": F.lit(None).cast("string"), "details": F.lit(None).cast(DETAILS_TYPE)})
+
+
 def distinct_agents(df: DataFrame, ua: str = "ua") -> DataFrame:
     """One row per agent with its number of rows, ``lines``."""
     return df.where(F.col(ua).isNotNull()).groupBy(F.col(ua).alias("ua")).agg(F.count("*").alias("lines"))

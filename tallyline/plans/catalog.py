@@ -91,14 +91,10 @@ def _with_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _agents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct agents with their lines, not yet classified."""
-    parsed = downloads.parse_lines(_lines(spark, sf_dir), TOKEN, classify=_leave)
+    parsed = downloads.parse_lines(_lines(spark, sf_dir), TOKEN, classify=agents.leave_open)
     return agents.distinct_agents(parsed)
 
 
-def _leave(df: DataFrame) -> DataFrame:
-    return df.withColumn("ua_status", F.lit(None).cast("string"))
-
-
 def _write_files(df: DataFrame, path: str) -> None:
     """One text file per chunk of lines, in order of the lines."""
     chunk = F.floor(F.col("line_id") / CHUNK)
@@ -485,9 +481,9 @@ def _stored_variants() -> list[list[dict]]:
     extra = {"name": "extra", "type": "STRING", "mode": NULLABLE}
     position = {field["name"]: n for n, field in enumerate(DOWNLOADS)}
 
-    def change(name: str, **new) -> list[dict]:
+    def change(column: str, **new) -> list[dict]:
         fields = list(DOWNLOADS)
-        fields[position[name]] = fields[position[name]] | new
+        fields[position[column]] = fields[position[column]] | new
         return fields
 
     def change_file(**new) -> list[dict]:
