@@ -104,10 +104,10 @@ def syslog_envelope(df: DataFrame) -> DataFrame:
                 "syslog_time": _syslog_time(token(0)),
                 "hostname": F.when(F.col("message").isNotNull(), F.nullif(token(1), F.lit("-"))),
                 "appname": F.when(F.col("message").isNotNull(), F.substring_index(token(2), "[", 1)),
-                # The process may hold a further "[", the application cannot.
+                # From the first "[", which the application cannot hold, to the "]:" at the end.
                 "procid": F.when(
                     F.col("message").isNotNull(),
-                    F.substr(F.substring_index(token(2), "]", 1), F.instr(token(2), "[") + 1),
+                    F.substr(token(2), F.instr(token(2), "[") + 1, F.length(token(2)) - F.instr(token(2), "[") - 2),
                 ),
             }
         )
