@@ -16,4 +16,5 @@ def pin(df: DataFrame, name: str, value: Column) -> DataFrame:
     one row per row is where it stops looking.
     """
     others = [F.col(f"`{column}`") for column in df.columns if column != name]
-    return df.select(*others, F.explode(F.array(value)).alias(name))
+    # The value is computed in a projection, which is compiled; a generator may not be.
+    return df.withColumn("_given", value).select(*others, F.explode(F.array("_given")).alias(name))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline.session import store
+
 
 def read_lines(spark: SparkSession, path: str | list[str], check_tail: bool = False) -> DataFrame:
     """Lines as BINARY ``raw``, split at line feeds only, bytes unaltered.
@@ -29,8 +31,9 @@ def mark_truncated(df: DataFrame, max_broadcast_rows: int = 200_000) -> DataFram
     Each line but a truncated one takes its bytes plus one. So the sum over a
     file, combined per task before the shuffle, tells whether the last line is
     whole; the last line is the one with the greatest position in the last block.
-    This costs one more scan. What goes back to the lines is a row per truncated
-    file, broadcast up to a counted limit. For uncompressed files only.
+    This costs one more scan, whose result is stored: a row per truncated file,
+    joined back by broadcast up to a counted limit, by shuffle beyond it. For
+    uncompressed files only.
     """
     per_file = df.groupBy("file").agg(
         F.sum(F.octet_length("raw") + 1).alias("bytes"),
@@ -40,7 +43,8 @@ def mark_truncated(df: DataFrame, max_broadcast_rows: int = 200_000) -> DataFram
     tails = per_file.where(F.col("bytes") == F.col("size") + 1).select(
         F.col("file").alias("_file"), F.col("position").alias("_position")
     )
-    if tails.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+    tails = store(tails, "tails")
+    if tails.count() <= max_broadcast_rows:
         tails = F.broadcast(tails)
     same = (F.col("file") == F.col("_file")) & (F.col("position") == F.col("_position"))
     return df.join(tails, same, "left").withColumn("truncated", F.col("_file").isNotNull()).drop("_file", "_position")
