@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
 from pyspark.sql import functions as F
@@ -88,6 +89,7 @@ def main() -> None:
         start = time.perf_counter()
         job()
         seconds[name] = round(time.perf_counter() - start, 3)
+        print(name, seconds[name], file=sys.stderr, flush=True)
     print(
         json.dumps(
             {
