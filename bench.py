@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyline.operators import agents, batches, conform
 from tallyline.plans import downloads, table
 from tallyline.schema import DOWNLOADS
-from tallyline.session import local_session, work_folder
+from tallyline.session import local_session, store, work_folder
 from tallyline.sources.synth import TOKEN, lines_of
 from tallyline.sources.text import mark_truncated, read_lines, stream_lines
 from tallyline.streaming.ingest import ingest
@@ -58,7 +58,7 @@ def main() -> None:
 
     def number():
         kept = downloads.kept(parsed()).select(F.col("position").alias("line_id"))
-        noop(batches.number_batches(kept))
+        noop(batches.number_batches(store(kept, "kept")))
 
     jobs = {
         "parse_enrich_inline": lambda: noop(enriched(parsed())),
