@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, langmix
+from tallyline.llm import bpe, jaccard, knn_quality, langmix, leaks, pii, repetition, ring, url_lm
 from tallyline.llm.common import fold, table
 
 
@@ -35,9 +35,81 @@ def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.langs", "found.shares")
 
 
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates for the personal data in its text."""
+    return pii.replace(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op3_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition counts of every document and the verdict."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", repetition.measures("text").alias("m"))
+    failed, kept = repetition.verdict("m")
+    return docs.select("doc_id", "m.*", failed.alias("base_failed"), kept.alias("kept"))
+
+
+def op4_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty shards of all documents, by the law of rows."""
+    placed = ring.assign(spark, table(spark, sf_dir, "documents", "doc_id", "text"), 40)
+    return placed.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+#: The rules of the URL filter and what each says.
+URL_RULES = [
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+]
+
+
+def op5_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every URL, by the rules or by the ratio of the language models."""
+    judged = url_lm.judge(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op6_neighbour_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = fold("doc_id", 5) == 0
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality").where(~held_out)
+    model = knn_quality.fit(docs, labels, "doc_id", "text", "quality")
+    scored = docs.select("doc_id", held_out.alias("held_out"), knn_quality.scores(model, spark, "text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op8_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of Jaccard 0.9 over three words."""
+    found = jaccard.similar(table(spark, sf_dir, "documents", "doc_id", "text"), n=3, num=90, den=100)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+def op10_bm25_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that a test item leaks into, with the item."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = leaks.leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_surrogates": op2_surrogates,
+    "op3_suffix_repetition": op3_suffix_repetition,
+    "op4_hash_ring": op4_hash_ring,
+    "op5_url_ratio": op5_url_ratio,
+    "op6_neighbour_votes": op6_neighbour_votes,
     "op7_language_mixture": op7_language_mixture,
+    "op8_jaccard_regions": op8_jaccard_regions,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_bm25_leaks": op10_bm25_leaks,
 }
 
 #: SQL for those that SQL can express.
