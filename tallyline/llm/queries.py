@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, jaccard, knn_quality, langmix, leaks, pii, repetition, ring, url_lm
+from tallyline.llm import bpe, html_crf, jaccard, knn_quality, langmix, leaks, pii, repetition, ring, url_lm
 from tallyline.llm.common import fold, table
 
 
@@ -35,6 +35,14 @@ def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.langs", "found.shares")
 
 
+def op1_crf_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    model = html_crf.fit(pages, "html", "page_id")
+    found = pages.select("page_id", "url", html_crf.main_text(model, spark, "html").alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with surrogates for the personal data in its text."""
     return pii.replace(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -101,6 +109,7 @@ def op10_bm25_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_crf_blocks": op1_crf_blocks,
     "op2_surrogates": op2_surrogates,
     "op3_suffix_repetition": op3_suffix_repetition,
     "op4_hash_ring": op4_hash_ring,
