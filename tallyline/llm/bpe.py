@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,9 @@ from xxhash import xxh3_128_intdigest
 MAX_ENTRIES = 1_000_000
 ID_BITS = 20
 #: Resolved pre-tokens that a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 250_000
+#: Rows of a batch that are worked on together.
+ROWS = 500
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -136,22 +139,34 @@ class Encoder:
 
     def __init__(self, ranks: PerfectHash, merges: Merges):
         self.ranks, self.merges = ranks, merges
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def ids(self, piece: str) -> list[int]:
+    def ids(self, piece: str) -> bytes:
+        """The ids as packed 32-bit integers."""
         found = self.young.get(piece)
         if found is None:
             found = self.old.get(piece)
             if found is None:
                 data = piece.encode()
                 whole = self.ranks.get(data)
-                found = [whole] if whole >= 0 else merge(data, self.merges)
+                found = array("i", [whole] if whole >= 0 else merge(data, self.merges)).tobytes()
             if len(self.young) >= REMEMBERED:
                 self.old, self.young = self.young, {}
             self.young[piece] = found
         return found
 
+    def resolve(self, lists: pa.Array) -> pa.Array:
+        """Id lists of lists of pre-tokens; each distinct pre-token is looked up once."""
+        pieces = lists.flatten().dictionary_encode()
+        known = [self.ids(p) for p in pieces.dictionary.to_pylist()]
+        ends = np.concatenate([[0], np.cumsum([len(k) // 4 for k in known], dtype=np.int64)]).astype(np.int32)
+        values = np.frombuffer(b"".join(known), np.int32)
+        each = pa.ListArray.from_arrays(pa.array(ends), pa.array(values)).take(pieces.indices)
+        counts = np.concatenate([[0], np.cumsum(each.value_lengths().to_numpy(zero_copy_only=False))])
+        ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+        return pa.ListArray.from_arrays(pa.array(counts[ends].astype(np.int32)), each.flatten())
+
 
 #: White space as the pattern means it; Java's own class is ASCII only. A fixed value.
 SPACES = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -173,6 +188,17 @@ def java_pattern(pattern: str) -> str:
     return "".join(out)
 
 
+def spell(lists: pa.Array, tokens: pa.Array) -> pa.Array:
+    """The bytes of id lists."""
+    flat = lists.flatten()
+    bad = pc.or_kleene(pc.or_kleene(pc.less(flat, 0), pc.greater_equal(flat, len(tokens))), flat.is_null())
+    safe = pc.if_else(pc.fill_null(bad, True), pa.scalar(None, flat.type), flat)
+    sizes = pc.fill_null(pc.list_value_length(lists), 0)
+    ends = pa.array(np.concatenate([[0], np.cumsum(sizes.to_numpy(zero_copy_only=False))]).astype(np.int32))
+    joined = pc.binary_join(pa.ListArray.from_arrays(ends, tokens.take(safe)), pa.scalar(b""))
+    return pc.if_else(lists.is_valid(), joined, pa.scalar(None, pa.binary()))
+
+
 class Tokenizer:
     """Column functions for one vocabulary; its table is broadcast once."""
 
@@ -184,31 +210,23 @@ class Tokenizer:
         by_id: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             by_id[rank] = token
-        shared = spark.sparkContext.broadcast((table, Merges(ranks), by_id))
+        lookup = spark.sparkContext.broadcast((table, Merges(ranks)))
+        spelling = spark.sparkContext.broadcast(by_id)
         self._pattern = java_pattern(pattern)
 
         @F.arrow_udf("array<int>")
         def resolve(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            encoder = Encoder(*shared.value[:2])
+            encoder = Encoder(*lookup.value)
             for lists in batches:
-                pieces = lists.flatten().dictionary_encode()
-                known = [encoder.ids(p) for p in pieces.dictionary.to_pylist()]
-                each = pa.array(known, pa.list_(pa.int32())).take(pieces.indices)
-                counts = np.concatenate([[0], np.cumsum(each.value_lengths().to_numpy(zero_copy_only=False))])
-                ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
-                yield pa.ListArray.from_arrays(pa.array(counts[ends].astype(np.int32)), each.flatten())
+                parts = [encoder.resolve(lists[i : i + ROWS]) for i in range(0, max(1, len(lists)), ROWS)]
+                yield pa.concat_arrays(parts)
 
         @F.arrow_udf("binary")
         def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            tokens = pa.array(shared.value[2], pa.binary())
+            tokens = pa.array(spelling.value, pa.binary())
             for lists in batches:
-                flat = lists.flatten()
-                bad = pc.or_kleene(pc.or_kleene(pc.less(flat, 0), pc.greater_equal(flat, len(tokens))), flat.is_null())
-                safe = pc.if_else(pc.fill_null(bad, True), pa.scalar(None, flat.type), flat)
-                sizes = pc.fill_null(pc.list_value_length(lists), 0)
-                ends = pa.array(np.concatenate([[0], np.cumsum(sizes.to_numpy(zero_copy_only=False))]).astype(np.int32))
-                joined = pc.binary_join(pa.ListArray.from_arrays(ends, tokens.take(safe)), pa.scalar(b""))
-                yield pc.if_else(lists.is_valid(), joined, pa.scalar(None, pa.binary()))
+                parts = [spell(lists[i : i + ROWS], tokens) for i in range(0, max(1, len(lists)), ROWS)]
+                yield pa.concat_arrays(parts)
 
         self._resolve, self._decode = resolve, decode
 
