@@ -54,7 +54,7 @@ def main() -> None:
 
     def write():
         table.declare_fields(spark, root, DOWNLOADS)
-        table.write_rows(table.to_rows(parsed()), root)
+        table.write_rows(table.to_rows(parsed()), root, "bench")
 
     def number():
         kept = downloads.kept(parsed()).select(F.col("position").alias("line_id"))
@@ -68,9 +68,7 @@ def main() -> None:
         "downloads_per_day": lambda: noop(downloads.downloads_per_day(parsed())),
         "reject_counts": lambda: noop(downloads.reason_counts(parsed())),
         "ua_rule_hits": lambda: noop(
-            agents.classify(agents.distinct_agents(parsed(classify=agents.leave_open)))
-            .groupBy("ua_rule")
-            .agg(F.sum("lines"))
+            agents.rule_hits(agents.distinct_agents(parsed(classify=agents.leave_open)))
         ),
         "truncated_tail": lambda: noop(mark_truncated(lines)),
         "size_batches": number,

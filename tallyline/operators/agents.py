@@ -210,10 +210,14 @@ IGNORED_ANYWHERE = "Nutch"
 # The first rule of all: from version 6 on, pip describes itself in JSON.
 PIP_JSON = "pip_6"
 
-_DETAILS = next(f for f in DOWNLOADS if f["name"] == "details")["fields"]
-DETAILS_TYPE: T.StructType = to_struct(_DETAILS)
-# "ci" is read but not stored: the table has no such column.
-_JSON_TYPE = T.StructType([*DETAILS_TYPE.fields, T.StructField("ci", T.VariantType())])
+
+
+def details_type(fields: list[dict]) -> T.StructType:
+    """The type of the details record in a table's schema."""
+    return to_struct(next(f for f in fields if f["name"] == "details")["fields"])
+
+
+DETAILS_TYPE: T.StructType = details_type(DOWNLOADS)
 _JSON_BLANKS = " \t\r\n"
 
 
@@ -227,8 +231,10 @@ def is_ignored(ua: Column) -> Column:
     return ua.rlike(regex(IGNORED_AGENTS)) | F.contains(ua, F.lit(IGNORED_ANYWHERE))
 
 
-def _pip_json(df: DataFrame, ua: str, on_unknown_key: str) -> DataFrame:
+def _pip_json(df: DataFrame, ua: str, on_unknown_key: str, struct: T.StructType = DETAILS_TYPE) -> DataFrame:
     """Add ``_json_text``, ``_json`` and ``_json_state`` for pip's JSON form."""
+    # "ci" is read but not stored: the table has no such column.
+    json_type = T.StructType([*struct.fields, T.StructField("ci", T.VariantType())])
     agent = F.col(ua)
     # An extract keeps its compiled pattern, a split compiles it for every row.
     version = F.when(F.startswith(agent, F.lit("pip/")), F.regexp_extract(agent, regex(r"^pip/(\S*)"), 1))
@@ -238,18 +244,18 @@ def _pip_json(df: DataFrame, ua: str, on_unknown_key: str) -> DataFrame:
         is_strict_json(F.col("_json_text")), MALFORMED
     )
     if on_unknown_key == "reject":
-        state = F.when((state == PARSED) & _has_unknown_key(F.col("_json_text")), MALFORMED).otherwise(state)
+        state = F.when((state == PARSED) & _has_unknown_key(F.col("_json_text"), struct), MALFORMED).otherwise(state)
     elif on_unknown_key != "ignore":
         raise ValueError("on_unknown_key is 'ignore' or 'reject'")
     return (
         pin(df.withColumn("_version", version), "_json_text", text)
-        .withColumn("_json", parse_sealed_object(F.col("_json_text"), _JSON_TYPE))
+        .withColumn("_json", parse_sealed_object(F.col("_json_text"), json_type))
         .withColumn("_json_state", F.when(F.col("_json_text").isNotNull(), state))
         .drop("_version")
     )
 
 
-def _has_unknown_key(text: Column) -> Column:
+def _has_unknown_key(text: Column, details: T.StructType) -> Column:
     """Whether any record of the JSON has a key its type does not have."""
     found = []
 
@@ -262,7 +268,7 @@ def _has_unknown_key(text: Column) -> Column:
             if isinstance(column.dataType, T.StructType):
                 visit(column.dataType, f"{path}.{column.name}")
 
-    visit(DETAILS_TYPE, "$", "ci")
+    visit(details, "$", "ci")
     return functools.reduce(operator.or_, found)
 
 
@@ -284,12 +290,17 @@ def classify(
     ua: str = "ua",
     rules: list[Rule | PandasRule] = RULES,
     on_unknown_key: str = "ignore",
+    details_type: T.StructType = DETAILS_TYPE,
 ) -> DataFrame:
     """Add ``ua_status``, ``ua_rule``, ``details`` and ``ci`` for the agent column.
 
     Column work in place, no shuffle. Rules in Python, if any, are tried last, on
-    the agents the others left open. Rows without an agent keep nulls.
+    the agents the others left open; what they raise is in ``ua_error`` then, and the
+    next rule is tried. Rows without an agent keep nulls.
     """
+    for rule in rules:
+        if isinstance(rule, Rule) and (odd := set(rule.template) - set(leaf_paths(details_type))):
+            raise ValueError(f"rule {rule.name!r}: details have no {sorted(odd)}")
     in_python = [rule for rule in rules if isinstance(rule, PandasRule)]
     rules = [rule for rule in rules if isinstance(rule, Rule)]
     agent = F.col(ua)
@@ -307,11 +318,11 @@ def classify(
         .when(parsed, PARSED)
         .otherwise(UNKNOWN)
     )
-    details = F.when((number == 0) & (F.col("_json_state") == PARSED), _from_json(DETAILS_TYPE, F.col("_json"))).when(
-        parsed, _from_rules(DETAILS_TYPE, agent, number, rules)
+    details = F.when((number == 0) & (F.col("_json_state") == PARSED), _from_json(details_type, F.col("_json"))).when(
+        parsed, _from_rules(details_type, agent, number, rules)
     )
     done = (
-        pin(_pip_json(df, ua, on_unknown_key), "_rule", chain)
+        pin(_pip_json(df, ua, on_unknown_key, details_type), "_rule", chain)
         .withColumns(
             {
                 "ua_status": status,
@@ -322,11 +333,22 @@ def classify(
         )
         .drop("_json_text", "_json", "_json_state", "_rule")
     )
+    if in_python:
+        done = done.withColumn("ua_error", F.lit(None).cast("string"))
     for rule in in_python:
-        done = _apply_in_python(done, ua, rule)
+        done = _apply_in_python(done, ua, rule, details_type)
     return done
 
 
+def leaf_paths(struct: T.StructType, prefix: str = "") -> list[str]:
+    """The paths of a record's fields that are not records themselves."""
+    found = []
+    for column in struct.fields:
+        nested = isinstance(column.dataType, T.StructType)
+        found += leaf_paths(column.dataType, f"{prefix}{column.name}.") if nested else [prefix + column.name]
+    return found
+
+
 def _from_json(struct: T.StructType, parsed: Column) -> Column:
     return F.struct(*[parsed[name].alias(name) for name in struct.fieldNames()])
 
@@ -377,9 +399,9 @@ def _from_rules(struct: T.StructType, ua: Column, number: Column, rules: list[Ru
     return F.when(functools.reduce(operator.or_, [value.isNotNull() for value in columns.values()]), record)
 
 
-def leave_open(df: DataFrame) -> DataFrame:
+def leave_open(df: DataFrame, details_type: T.StructType = DETAILS_TYPE) -> DataFrame:
     """Stands in for :func:`classify` where agents are only to be collected."""
-    return df.withColumns({"ua_status": F.lit(None).cast("string"), "details": F.lit(None).cast(DETAILS_TYPE)})
+    return df.withColumns({"ua_status": F.lit(None).cast("string"), "details": F.lit(None).cast(details_type)})
 
 
 def distinct_agents(df: DataFrame, ua: str = "ua") -> DataFrame:
@@ -387,27 +409,59 @@ def distinct_agents(df: DataFrame, ua: str = "ua") -> DataFrame:
     return df.where(F.col(ua).isNotNull()).groupBy(F.col(ua).alias("ua")).agg(F.count("*").alias("lines"))
 
 
-def _apply_in_python(df: DataFrame, ua: str, rule: PandasRule) -> DataFrame:
+def _fits(details: object, struct: T.StructType) -> bool:
+    """Whether a dict has the record's fields only, with text and dicts where they belong."""
+    if not isinstance(details, dict) or set(details) - set(struct.names):
+        return False
+    for name, value in details.items():
+        kind = struct[name].dataType
+        if value is not None and not (_fits(value, kind) if isinstance(kind, T.StructType) else isinstance(value, str)):
+            return False
+    return True
+
+
+def _try(parse: Callable[[pd.Series], pd.Series], agents: pd.Series) -> tuple[pd.Series, dict]:
+    """What a rule makes of the agents, and what it raised, by index.
+
+    If it raises for a batch, it is asked once more for each agent alone.
+    """
+    try:
+        return parse(agents), {}
+    except Exception:  # noqa: BLE001  a rule may raise anything
+        made, errors = {}, {}
+        for index in agents.index:
+            try:
+                made[index] = parse(agents.loc[[index]]).iloc[0]
+            except Exception as error:  # noqa: BLE001
+                errors[index] = f"{type(error).__name__}: {error}"
+        return pd.Series(made, dtype=object), errors
+
+
+def _apply_in_python(df: DataFrame, ua: str, rule: PandasRule, details_type: T.StructType) -> DataFrame:
     """Try a Python rule on the agents that are still open, ignored ones included."""
-    parse = rule.parse
-    result = T.StructType([T.StructField("accepted", T.BooleanType()), T.StructField("details", T.StringType())])
+    parse, name = rule.parse, rule.name
+    result = "accepted boolean, details string, error string"
 
     @F.pandas_udf(result)
     def run(agents: pd.Series) -> pd.DataFrame:
-        made = parse(agents.dropna()).reindex(agents.index)
+        made, errors = _try(parse, agents.dropna())
+        made = made.reindex(agents.index)
         accepted = made.map(lambda details: isinstance(details, dict)).astype(bool)
-        texts = made.map(lambda details: json.dumps(details) if isinstance(details, dict) else None)
-        return pd.DataFrame({"accepted": accepted, "details": texts.astype(object)})
+        texts = made.map(lambda details: json.dumps(details) if _fits(details, details_type) else None)
+        error = pd.Series({i: f"{name}: {text}" for i, text in errors.items()}, dtype=object).reindex(agents.index)
+        return pd.DataFrame({"accepted": accepted, "details": texts.astype(object), "error": error})
 
     made = F.col("_made")
     hit = made["accepted"]
+    fits = made["details"].isNotNull()
     return (
         df.withColumn("_made", run(F.when(F.col("ua_rule").isNull(), F.col(ua))))
         .withColumns(
             {
-                "ua_status": F.when(hit, PARSED).otherwise(F.col("ua_status")),
+                "ua_status": F.when(hit & fits, PARSED).when(hit, MALFORMED).otherwise(F.col("ua_status")),
                 "ua_rule": F.when(hit, rule.name).otherwise(F.col("ua_rule")),
-                "details": F.when(hit, F.from_json(made["details"], DETAILS_TYPE)).otherwise(F.col("details")),
+                "details": F.when(hit, F.from_json(made["details"], details_type)).otherwise(F.col("details")),
+                "ua_error": F.coalesce("ua_error", made["error"]),
             }
         )
         .drop("_made")
@@ -418,25 +472,43 @@ def classify_by_dimension(
     df: DataFrame,
     ua: str = "ua",
     rules: list[Rule | PandasRule] = RULES,
+    on_unknown_key: str = "ignore",
+    details_type: T.StructType = DETAILS_TYPE,
     max_broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
     """Like :func:`classify`, with each distinct agent classified once.
 
-    The agents are grouped (combined before the shuffle, so a frequent agent
-    costs one row per task), classified and stored. Their measured size decides:
-    up to the limit they are broadcast back to the rows; beyond it the rows are
-    classified in place, which needs no exchange at all.
+    For rules in Python: they never see an agent twice. The agents are grouped (combined before
+    the shuffle, so a frequent agent costs one row per task), classified and stored. Up to a
+    measured size they are broadcast back to the rows, beyond it joined by shuffle, where AQE
+    splits a frequent agent. ``df`` is evaluated twice: store it if that is dear.
     """
     agents = distinct_agents(df, ua).drop("lines")
-    dimension = store(classify(agents, "ua", rules), "agents")
-    row_bytes = F.octet_length("ua") + F.octet_length(F.to_json("details")) + 128
+    dimension = store(classify(agents, "ua", rules, on_unknown_key, details_type), "agents")
+    row_bytes = F.octet_length("ua") + F.coalesce(F.octet_length(F.to_json("details")), F.lit(0)) + 128
     size = dimension.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).first()["bytes"]
-    if size > max_broadcast_bytes:
-        return classify(df, ua, rules)
-    dimension = F.broadcast(dimension.withColumnRenamed("ua", "_agent"))
+    dimension = dimension.withColumnRenamed("ua", "_agent")
+    if size <= max_broadcast_bytes:
+        dimension = F.broadcast(dimension)
     return df.join(dimension, F.col(ua) == F.col("_agent"), "left").drop("_agent")
 
 
+def unknown_agents(agents: DataFrame, **options) -> DataFrame:
+    """Every agent that no rule accepts and none ignores, with its number of rows."""
+    return classify(agents, **options).where(F.col("ua_status") == UNKNOWN).select("ua", "lines")
+
+
+def rule_hits(agents: DataFrame, **options) -> DataFrame:
+    """Rows per rule that accepts, from distinct agents."""
+    done = classify(agents, **options).where(F.col("ua_rule").isNotNull())
+    return done.groupBy("ua_rule").agg(F.sum("lines").alias("lines"))
+
+
+def rule_errors(agents: DataFrame, **options) -> DataFrame:
+    """Agents for which a rule in Python raised, with the first error."""
+    return classify(agents, **options).where(F.col("ua_error").isNotNull()).select("ua", "lines", "ua_error")
+
+
 def ambiguous_agents(agents: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """Agents that two or more rules accept; for these the order of rules decides."""
     agent = F.col("ua")

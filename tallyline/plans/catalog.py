@@ -13,7 +13,7 @@ from tallyline.functions.versions import at_least_6, from_1_4_below_6
 from tallyline.operators import agents, batches, conform, events, lines
 from tallyline.plans import downloads, evolve, table
 from tallyline.schema import DOWNLOADS, NULLABLE, REQUIRED
-from tallyline.session import configure, store, work_folder
+from tallyline.session import configure, delete, store, work_folder
 from tallyline.sources.synth import TOKEN, lines_of
 from tallyline.sources.text import mark_truncated, read_lines, stream_lines
 from tallyline.streaming.ingest import ingest
@@ -137,7 +137,7 @@ def reject_oversize_lines(spark, sf_dir):
     return df.where("oversize").select("line_id", F.octet_length("raw").alias("line_bytes"))
 
 
-def reject_truncated_tail(spark, sf_dir):
+def _cut_files(spark: SparkSession, sf_dir: str) -> str:
     """Every other chunk is written so that its last line has no line feed."""
     df = _lines(spark, sf_dir)
     path = work_folder(spark, "lines")
@@ -154,8 +154,25 @@ def reject_truncated_tail(spark, sf_dir):
         .option("lineSep", " ")
         .text(f"{path}/kind=cut")
     )
+    return f"{path}/*/*"
+
+
+def reject_truncated_tail(spark, sf_dir):
+    path = _cut_files(spark, sf_dir)
+    # How files are split changes between the scan for cut files and the one for their lines.
+    setting = "spark.sql.files.minPartitionNum"
+    spark.conf.set(setting, "4")
     marked = mark_truncated(read_lines(spark, path))
-    return marked.where("truncated").select(_line_id())
+    spark.conf.set(setting, "16")
+    found = store(marked.where("truncated").select(_line_id()), "found")
+    spark.conf.unset(setting)
+    return found
+
+
+def stream_truncated_tail(spark, sf_dir):
+    path, root, checkpoint = _cut_files(spark, sf_dir), *(work_folder(spark, n) for n in ("table", "checkpoint"))
+    ingest(stream_lines(spark, path), root, checkpoint, TOKEN, once=True, check_tail=True).awaitTermination()
+    return table.read_rejects(spark, root).where("reject_reason = 'truncated'").select(_line_id())
 
 
 def token_filter(spark, sf_dir):
@@ -195,11 +212,8 @@ def syslog_priority(spark, sf_dir):
 
 
 def syslog_labels(spark, sf_dir):
-    """Names for all codes there are, counted over the lines."""
-    code = (F.col("line_id") % 192).cast("int")
-    df = _lines(spark, sf_dir).withColumns(
-        {"facility": F.shiftright(code, 3), "severity": code.bitwiseAND(F.lit(7))}
-    )
+    """Names of the codes in the lines, counted."""
+    df = _syslog(spark, sf_dir).where(F.col("message").isNotNull() & (F.col("facility") <= 23))
     named = lines.label_codes(df)
     return named.groupBy("facility_name", "severity_name").agg(F.count("*").alias("lines"))
 
@@ -332,14 +346,12 @@ def ua_unknown_keep(spark, sf_dir):
     return _kept(spark, sf_dir).where(F.col("details").isNull()).select("line_id", "ua", "url")
 
 
-def ua_unknown_report(spark, sf_dir, top: int = 20):
-    done = agents.classify(_agents(spark, sf_dir)).where(F.col("ua_status") == agents.UNKNOWN)
-    return done.select("ua", "lines").orderBy(F.desc("lines"), "ua").limit(top)
+def ua_unknown_report(spark, sf_dir):
+    return agents.unknown_agents(_agents(spark, sf_dir))
 
 
 def ua_rule_hits(spark, sf_dir):
-    done = agents.classify(_agents(spark, sf_dir)).where(F.col("ua_rule").isNotNull())
-    return done.groupBy("ua_rule").agg(F.sum("lines").alias("lines"))
+    return agents.rule_hits(_agents(spark, sf_dir))
 
 
 def _read_firefox(agent: pd.Series) -> pd.Series:
@@ -347,6 +359,14 @@ def _read_firefox(agent: pd.Series) -> pd.Series:
     return found.map(lambda major: {"installer": {"name": "Firefox", "version": major}} if isinstance(major, str) else None)
 
 
+def _read_picky(agent: pd.Series) -> pd.Series:
+    """A rule that cannot read one agent."""
+    for text in agent:
+        if text.startswith("Firefox/"):
+            raise ValueError(text)
+    return agent.map(lambda _: None)
+
+
 CUSTOM_RULES = [
     *agents.RULES,
     agents.Rule(
@@ -354,6 +374,7 @@ CUSTOM_RULES = [
         (r"^Python-urllib/(?P<python>\d\.\d\d)$", r"^(?P<python>An) agent nobody"),
         {"installer.name": "urllib", "python": "{python}"},
     ),
+    agents.PandasRule("picky", _read_picky),
     agents.PandasRule("firefox", _read_firefox),
 ]
 
@@ -367,6 +388,10 @@ def ua_custom_rules(spark, sf_dir):
     )
 
 
+def ua_rule_errors(spark, sf_dir):
+    return agents.rule_errors(_agents(spark, sf_dir), rules=CUSTOM_RULES)
+
+
 # Batches, routing, sink
 
 
@@ -396,10 +421,10 @@ def size_batch_deliveries(spark, sf_dir):
     return batches.deliveries(_batched(spark, sf_dir))
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> str:
+def _streamed(spark: SparkSession, sf_dir: str, which: str = "true") -> str:
     """The table a stream has written, one file of lines per batch."""
     path, root, checkpoint = (work_folder(spark, name) for name in ("lines", "table", "checkpoint"))
-    _write_files(_lines(spark, sf_dir), path)
+    _write_files(_lines(spark, sf_dir).where(which), path)
     ingest(stream_lines(spark, path, max_files_per_trigger=1), root, checkpoint, TOKEN, once=True).awaitTermination()
     return root
 
@@ -411,20 +436,53 @@ def timed_flush(spark, sf_dir):
 
 def delivery_accounting(spark, sf_dir):
     """Rows and deliveries per day, and what of the kept lines is not in the table."""
-    sent = table.deliveries(spark, _streamed(spark, sf_dir)).groupBy("event_date").agg(
-        F.sum("rows").alias("rows_delivered"), F.count("*").alias("deliveries")
-    )
-    due = daily_route(spark, sf_dir)
-    return due.join(sent, "event_date", "left").select(
-        "event_date", "rows_delivered", "deliveries", (F.col("downloads") - F.col("rows_delivered")).alias("rows_dropped")
-    )
+    root = _streamed(spark, sf_dir, "day(ts) > 10")
+    return table.delivery_report(spark, root, daily_route(spark, sf_dir))
+
+
+def _rows_and_ids(spark: SparkSession, root: str) -> DataFrame:
+    rows = table.read_downloads(spark, root).groupBy("event_date")
+    return rows.agg(F.count("*").alias("rows"), F.countDistinct("row_id").alias("ids"))
 
 
 def row_id(spark, sf_dir):
-    """An id made from where the line stands: the same on every attempt."""
-    return _kept(spark, sf_dir).select(
-        "line_id", F.sha2(F.concat(F.lit("events:"), F.col("line_id").cast("string")), 256).alias("row_id")
-    )
+    """The ids that are stored with the rows."""
+    return _rows_and_ids(spark, _stored(spark, sf_dir))
+
+
+def two_writers_one_table(spark, sf_dir):
+    """A batch job and a stream write the same days to one table, and each of them a second time."""
+    path, root, checkpoint = (work_folder(spark, name) for name in ("lines", "table", "checkpoint"))
+    _write_files(_lines(spark, sf_dir), path)
+    for _ in range(2):
+        table.write_rows(table.to_rows(downloads.parse_lines(read_lines(spark, path), TOKEN)), root, "backlog")
+        ingest(stream_lines(spark, path), root, checkpoint, TOKEN, once=True).awaitTermination()
+    # As after a failure: the stream's only batch runs again.
+    delete(spark, f"{checkpoint}/commits")
+    ingest(stream_lines(spark, path), root, checkpoint, TOKEN, once=True).awaitTermination()
+    return _rows_and_ids(spark, root)
+
+
+def compact_table(spark, sf_dir):
+    """A stream's batches of all days put together, but for the last one."""
+    root = _streamed(spark, sf_dir)
+    seen = table.deliveries(spark, root).select("event_date", "writer").distinct().collect()
+    table.compact_days(spark, root, [r.event_date for r in seen], seen[0].writer)
+    rows = table.read_downloads(spark, root).groupBy("event_date")
+    return rows.agg(F.count("*").alias("rows"), F.countDistinct("batch_id").alias("batches"))
+
+
+def stream_takes_new_column(spark, sf_dir):
+    """The table has got a column of details; the stream fills it."""
+    path, root, checkpoint = (work_folder(spark, name) for name in ("lines", "table", "checkpoint"))
+    _write_files(_lines(spark, sf_dir), path)
+    evolve.evolve(spark, root, DOWNLOADS)
+    more = {"name": "rustc_version", "type": "STRING", "mode": NULLABLE}
+    wide = [f | {"fields": [*f["fields"], more]} if f["name"] == "details" else f for f in DOWNLOADS]
+    evolve.evolve(spark, root, wide)
+    ingest(stream_lines(spark, path), root, checkpoint, TOKEN, once=True).awaitTermination()
+    rows = table.read_downloads(spark, root).groupBy("event_date")
+    return rows.agg(F.count("*").alias("rows"), F.count("details.rustc_version").alias("with_rustc"))
 
 
 def epoch_seconds(spark, sf_dir):
@@ -453,7 +511,7 @@ def conform_skip_invalid(spark, sf_dir):
 def _stored(spark: SparkSession, sf_dir: str, by_day: bool = False) -> str:
     root = work_folder(spark, "table")
     table.declare_fields(spark, root, DOWNLOADS)
-    table.write_rows(table.to_rows(_parsed(spark, sf_dir)), root, by_day=by_day)
+    table.write_rows(table.to_rows(_parsed(spark, sf_dir)), root, "catalog", by_day=by_day)
     return root
 
 
@@ -512,12 +570,12 @@ def schema_delta_check(spark, sf_dir):
     rows = store(_kept(spark, sf_dir).withColumn("day", F.dayofmonth("timestamp")), "kept")
     variants = _stored_variants()
     for number, fields in enumerate(variants):
-        part = rows.where(F.col("day") % len(variants) == number).withColumn("event_date", downloads.event_date())
-        struct = evolve.to_struct(fields)
-        sent = part.to(type(struct)([*struct.fields, *table._KEYS.fields[:1]]))
-        table.write_rows(sent.withColumn("outcome", F.lit("kept")), root)
+        part = rows.where(F.col("day") % len(variants) == number)
+        table.write_downloads(part, root, "catalog", number, fields)
     delta = evolve.schema_delta(evolve.stored_fields(spark, root), DOWNLOADS)
-    return delta.select(F.split_part("part", F.lit("/"), F.lit(1)).alias("event_date"), "path", "rule")
+    part = F.concat_ws("/", "writer", F.col("batch_id").cast("string")).alias("part")
+    days = table.deliveries(spark, root).select(part, "event_date").distinct()
+    return delta.join(days, "part").select("event_date", "path", "rule")
 
 
 def table_evolve(spark, sf_dir):
@@ -526,9 +584,9 @@ def table_evolve(spark, sf_dir):
     rows = store(_kept(spark, sf_dir), "kept")
     early = F.dayofmonth("timestamp") <= 15
     evolve.evolve(spark, root, DOWNLOADS[:-2])
-    table.write_downloads(rows.where(early), root, 0, DOWNLOADS[:-2])
+    table.write_downloads(rows.where(early), root, "early", 0, DOWNLOADS[:-2])
     evolve.evolve(spark, root, DOWNLOADS)
-    table.write_downloads(rows.where(~early), root, 1, DOWNLOADS)
+    table.write_downloads(rows.where(~early), root, "late", 0, DOWNLOADS)
     return table.read_downloads(spark, root).groupBy("event_date").agg(
         F.count("*").alias("rows"), F.count("tls_protocol").alias("with_tls")
     )
@@ -539,6 +597,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_raw_lines": stream_raw_lines,
     "reject_oversize_lines": reject_oversize_lines,
     "reject_truncated_tail": reject_truncated_tail,
+    "stream_truncated_tail": stream_truncated_tail,
     "token_filter": token_filter,
     "utf8_repair": utf8_repair_text,
     "expand_tabs": expand_tab_stops,
@@ -570,6 +629,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ua_unknown_report": ua_unknown_report,
     "ua_rule_hits": ua_rule_hits,
     "ua_custom_rules": ua_custom_rules,
+    "ua_rule_errors": ua_rule_errors,
     "event_date_key": event_date_key,
     "daily_route": daily_route,
     "downloads_per_day": downloads_per_day,
@@ -577,6 +637,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "size_batch_deliveries": size_batch_deliveries,
     "timed_flush": timed_flush,
     "row_id": row_id,
+    "two_writers_one_table": two_writers_one_table,
+    "compact_table": compact_table,
+    "stream_takes_new_column": stream_takes_new_column,
     "epoch_seconds": epoch_seconds,
     "conform_drop_unknown": conform_drop_unknown,
     "conform_skip_invalid": conform_skip_invalid,

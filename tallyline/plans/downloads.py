@@ -34,13 +34,15 @@ def parse_lines(
     df: DataFrame,
     token: str | bytes | None = None,
     max_line_size: int = lines.MAX_LINE_SIZE,
-    classify: Callable[[DataFrame], DataFrame] = agents.classify,
+    classify: Callable[..., DataFrame] = agents.classify,
+    fields: list[dict] | None = None,
 ) -> DataFrame:
     """Add everything a line holds, and ``reject_reason``, to a DataFrame with ``raw``.
 
     Rows stay rows, in place: a chain of projections without an exchange. Later
     steps see null for lines an earlier one has refused, so they cost nothing.
-    ``truncated`` is taken from the input if there.
+    ``truncated`` is taken from the input if there. ``fields`` is the table's schema,
+    if it has moved on from the first one; agents are read into its ``details``.
     """
     if "truncated" not in df.columns:
         df = df.withColumn("truncated", F.lit(False))
@@ -66,7 +68,7 @@ def parse_lines(
     )
     df = df.withColumn("reject_reason", event_reason)
     df = pin(df, "ua", F.when(F.col("reject_reason").isNull(), F.col("ua")))
-    df = classify(df)
+    df = classify(df) if fields is None else classify(df, details_type=agents.details_type(fields))
     agent_reason = (
         F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))
         .when(F.col("ua_status") == agents.MALFORMED, "malformed_details")
@@ -97,8 +99,12 @@ def reason_counts(parsed: DataFrame) -> DataFrame:
 
 
 def event_date(timestamp: str = "timestamp") -> Column:
-    """The UTC day of the event as ``yyyyMMdd``; late events go to their own day."""
-    return F.date_format(timestamp, "yyyyMMdd")
+    """The UTC day of the event as ``yyyyMMdd``, whatever the session's time zone.
+
+    Late events go to their own day.
+    """
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col(timestamp)) / 86400).cast("int"))
+    return F.replace(day.cast("string"), F.lit("-"), F.lit(""))
 
 
 def downloads_per_day(parsed: DataFrame) -> DataFrame:

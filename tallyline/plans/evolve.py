@@ -3,7 +3,7 @@
 Fields are compared by position, records field by field. Columns can be added at
 the end if they are NULLABLE or REPEATED, and REQUIRED can become NULLABLE;
 everything else is refused. The comparison is a job over rows of fields, so the
-schemas of all stored files are checked the way two single schemas are.
+schemas of all stored batches are checked the way two single schemas are.
 """
 
 from __future__ import annotations
@@ -14,10 +14,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallyline.plans.table import current_fields, declare_fields, read_downloads, write_rows
-from tallyline.schema import NULLABLE, REPEATED, REQUIRED, field_rows, from_struct, to_struct
+from tallyline.plans.table import current_fields, declare_fields, read_downloads
+from tallyline.schema import NULLABLE, REPEATED, REQUIRED, field_rows
 from tallyline.session import store
 
 _FIELD_ROW = "position array<int>, parent string, name string, type string, mode string"
@@ -37,41 +36,20 @@ def declared(spark: SparkSession, fields: list[dict], part: str = "table") -> Da
 
 
 def stored_fields(spark: SparkSession, root: str) -> DataFrame:
-    """The fields of every stored schema as rows, one ``part`` per day and batch.
+    """The fields of every stored schema as rows, one ``part`` per writer and batch.
 
-    Executors read the footers, where the fields stand with their modes. Files
-    of a part that agree give one set of rows.
+    Writers record the schema of each batch beside the data; no data file is opened.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{root}/data/outcome=kept")
-    # Only paths are asked for, so this lists files and opens none.
-    day_and_batch = F.regexp_replace("path", r"^.*/event_date=([^/]*)/batch_id=([^/]*)/[^/]*$", "$1/$2")
-    files = files.select(day_and_batch.alias("part"), F.col("path").alias("file"))
-    schemas = files.mapInPandas(_footers, "part string, struct string").distinct()
-    return schemas.mapInPandas(_flatten, f"part string, {_FIELD_ROW}")
-
-
-def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from urllib.parse import unquote
-
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    for files in batches:
-        structs = []
-        for file in files["file"]:
-            system, path = fs.FileSystem.from_uri(unquote(file))
-            metadata = pq.read_schema(path, filesystem=system).metadata
-            structs.append(metadata[b"org.apache.spark.sql.parquet.row.metadata"].decode())
-        yield pd.DataFrame({"part": files["part"], "struct": structs})
+    schema = "value string, writer string, batch_id bigint"
+    notes = spark.read.schema(schema).text(f"{root}/written")
+    part = F.concat_ws("/", "writer", F.col("batch_id").cast("string")).alias("part")
+    return notes.select(part, "value").mapInPandas(_flatten, f"part string, {_FIELD_ROW}")
 
 
 def _flatten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = ["part", "position", "parent", "name", "type", "mode"]
-    for schemas in batches:
-        rows = []
-        for part, struct in zip(schemas["part"], schemas["struct"], strict=True):
-            fields = from_struct(T.StructType.fromJson(json.loads(struct)))
-            rows += _with_part([f for f in fields if f["name"] not in ("reject_reason", "raw")], part)
+    for notes in batches:
+        rows = [row for part, text in zip(notes["part"], notes["value"]) for row in _with_part(json.loads(text), part)]
         yield pd.DataFrame(rows, columns=columns)
 
 
@@ -145,14 +123,14 @@ def evolve(spark: SparkSession, root: str, desired: list[dict]) -> None:
         declare_fields(spark, root, desired)
 
 
-def rewrite_days(spark: SparkSession, root: str, days: list[str], batch_id: int) -> None:
-    """Write stored days out again in the current schema, as one batch.
+def rewrite_days(spark: SparkSession, root: str, days: list[str], writer: str, batch_id: int) -> None:
+    """Write stored days of one batch out again in the current schema.
 
     For files that other readers must find in the current form. The days are
-    replaced folder by folder; run it while no batch is written to them.
+    replaced folder by folder; run it while that batch is not written.
     """
-    rows = read_downloads(spark, root).where(F.col("event_date").isin(days)).where(F.col("batch_id") == batch_id)
-    copy = store(rows.drop("batch_id"), "rewrite")
-    fields = current_fields(spark, root)
-    copy = copy.to(T.StructType([*to_struct(fields).fields, T.StructField("event_date", T.StringType())]))
-    write_rows(copy.withColumn("outcome", F.lit("kept")), root, batch_id)
+    mine = (F.col("writer") == writer) & (F.col("batch_id") == batch_id) & F.col("event_date").isin(days)
+    copy = store(read_downloads(spark, root).where(mine), "rewrite")
+    copy.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "event_date", "writer", "batch_id"
+    ).parquet(f"{root}/downloads")

@@ -134,7 +134,7 @@ WITH agents(agent_no, agent, ua_status, ua_rule, {_D}) AS (VALUES
 {_agent_rows()}
 ),
 numbered AS (
-  SELECT event_id AS line_id, event_id % 32 AS d, (event_id // 32) % 2 AS half, user_id,
+  SELECT event_id AS line_id, event_id % 32 AS d, (event_id // 32) % 2 AS half, user_id, event_id // 32 % 192 AS priority,
     CASE event_id % 32 WHEN 18 THEN 40 WHEN 19 THEN 41 ELSE (event_id // 32) % 40 END AS agent_no,
     date_trunc('second', ts) AS ts,
     'pkg-' || (user_id % 50) AS project0,
@@ -145,7 +145,8 @@ numbered AS (
   FROM events
 ),
 fields AS (
-  SELECT n.*, a.* EXCLUDE (agent_no, agent), a.agent,
+  SELECT n.*, a.* EXCLUDE (agent_no, agent),
+    CASE WHEN agent_no = 39 THEN a.agent || ' ' || user_id ELSE a.agent END AS agent,
     '/packages/' || (user_id % 16) || CASE WHEN d = 29 THEN '@/' ELSE '/' END
       || project0 || '-' || version0 || '.tar.gz' AS url,
     project0 || '-' || version0 || '.tar.gz' AS filename,
@@ -179,7 +180,7 @@ texts AS (
       || CASE WHEN d = 26 THEN '(null)' WHEN d = 28 THEN '(null)x' ELSE project0 END || '|'
       || coalesce(version, '(null)') || '|'
       || CASE WHEN d = 30 THEN 'bdist_foo' ELSE coalesce(type, '(null)') END || '|' AS event_head,
-    CASE WHEN d = 22 THEN '<192>' WHEN d = 23 THEN '<1134>' ELSE '<134>' END
+    CASE WHEN d = 22 THEN '<192>' WHEN d = 23 THEN '<1134>' ELSE '<' || priority || '>' END
       || CASE WHEN d = 25 THEN 'not-a-time' ELSE strftime(ts + INTERVAL 1 SECOND, '%Y-%m-%dT%H:%M:%SZ') END
       || ' ' || coalesce(hostname, '-') || ' collector[' || line_id
       || CASE WHEN d = 24 THEN '] ' ELSE ']: ' END AS envelope
@@ -211,9 +212,11 @@ _KEPT = "FROM lines WHERE outcome = 'kept'"
 
 def _labels() -> str:
     pick = lambda names: "[" + ", ".join(_text(name) for name in names) + "]"
-    return f"""SELECT {pick(FACILITIES)}[event_id % 192 // 8 + 1] AS facility_name,
-      {pick(SEVERITIES)}[event_id % 8 + 1] AS severity_name, count(*) AS lines
-      FROM events GROUP BY ALL"""
+    return _query(
+        f"""SELECT {pick(FACILITIES)}[priority // 8 + 1] AS facility_name,
+        {pick(SEVERITIES)}[priority % 8 + 1] AS severity_name, count(*) AS lines
+        FROM lines WHERE has_message AND d <> 22 GROUP BY ALL"""
+    )
 
 
 _VERSIONS = """
@@ -266,8 +269,9 @@ ORACLES: dict[str, str] = {
            head_chars + length(ua) AS message_chars FROM lines WHERE has_message"""
     ),
     "syslog_priority": _query(
-        """SELECT line_id, CASE WHEN d = 22 THEN 192 ELSE 134 END AS priority,
-           CASE WHEN d = 22 THEN 24 ELSE 16 END AS facility, CASE WHEN d = 22 THEN 0 ELSE 6 END AS severity,
+        """SELECT line_id, CAST(CASE WHEN d = 22 THEN 192 ELSE priority END AS INTEGER) AS priority,
+           CAST(CASE WHEN d = 22 THEN 24 ELSE priority // 8 END AS INTEGER) AS facility,
+           CAST(CASE WHEN d = 22 THEN 0 ELSE priority % 8 END AS INTEGER) AS severity,
            d <> 22 AS valid FROM lines WHERE has_message"""
     ),
     "syslog_labels": _labels(),
@@ -326,7 +330,7 @@ ORACLES: dict[str, str] = {
     "ua_ignore_filter": _query("SELECT line_id, ua FROM lines WHERE outcome = 'ignored_agent'"),
     "ua_unknown_keep": _query(f"SELECT line_id, ua, url {_KEPT} AND ua_status = 'unknown'"),
     "ua_unknown_report": _query(
-        f"SELECT ua, count(*) AS lines {_KEPT} AND ua_status = 'unknown' GROUP BY ALL ORDER BY lines DESC, ua LIMIT 20"
+        f"SELECT ua, count(*) AS lines {_KEPT} AND ua_status = 'unknown' GROUP BY ALL"
     ),
     "ua_rule_hits": _query(
         "SELECT ua_rule, count(*) AS lines FROM lines WHERE good_line AND ua_rule IS NOT NULL GROUP BY ALL"
@@ -338,6 +342,10 @@ ORACLES: dict[str, str] = {
            CASE agent_no WHEN 32 THEN '3.10' WHEN 39 THEN 'An' END AS python
            FROM lines WHERE good_line AND agent_no IN (32, 33, 39) GROUP BY ALL"""
     ),
+    "ua_rule_errors": _query(
+        """SELECT ua, count(*) AS lines, 'picky: ValueError: ' || ua AS ua_error
+           FROM lines WHERE good_line AND agent_no = 33 GROUP BY ALL"""
+    ),
     "event_date_key": _query(f"SELECT line_id, strftime(ts, '%Y%m%d') AS event_date {_KEPT}"),
     "daily_route": _query(f"SELECT strftime(ts, '%Y%m%d') AS event_date, count(*) AS downloads {_KEPT} GROUP BY ALL"),
     "downloads_per_day": _query(
@@ -349,7 +357,22 @@ ORACLES: dict[str, str] = {
         f', {_BATCHES} SELECT batch_no, event_date, count(*) AS "rows" FROM ranked GROUP BY ALL'
     ),
     "timed_flush": _query(f"""SELECT strftime(ts, '%Y%m%d') AS event_date, count(*) AS "rows" {_KEPT} GROUP BY ALL"""),
-    "row_id": _query(f"SELECT line_id, sha256('events:' || line_id) AS row_id {_KEPT}"),
+    "row_id": _query(
+        f"""SELECT strftime(ts, '%Y%m%d') AS event_date, count(*) AS "rows", count(*) AS ids {_KEPT} GROUP BY ALL"""
+    ),
+    "two_writers_one_table": _query(
+        f"""SELECT strftime(ts, '%Y%m%d') AS event_date, 2 * count(*) AS "rows", 2 * count(*) AS ids {_KEPT} GROUP BY ALL"""
+    ),
+    "compact_table": _query(
+        f"""SELECT strftime(ts, '%Y%m%d') AS event_date, count(*) AS "rows",
+            count(DISTINCT line_id // {CHUNK} = (SELECT max(event_id) // {CHUNK} FROM events)) AS batches {_KEPT} GROUP BY ALL"""
+    ),
+    "stream_truncated_tail": f"""SELECT max(event_id) AS line_id FROM events
+      WHERE event_id // {CHUNK} % 2 = 1 GROUP BY event_id // {CHUNK}""",
+    "stream_takes_new_column": _query(
+        f"""SELECT strftime(ts, '%Y%m%d') AS event_date, count(*) AS "rows",
+            count(*) FILTER (agent_no = 25) AS with_rustc {_KEPT} GROUP BY ALL"""
+    ),
     "epoch_seconds": _query(
         f"""SELECT CAST(epoch(ts) AS DOUBLE) AS epoch_seconds, type, installer_name, true AS same_in_json {_KEPT}"""
     ),
@@ -363,9 +386,11 @@ ORACLES: dict[str, str] = {
     "reject_table": _query(
         "SELECT outcome AS reject_reason, line_bytes, line_id FROM lines WHERE outcome <> 'kept'"
     ),
+    # Lines of the first ten days are not sent at all.
     "delivery_accounting": _query(
-        f"""SELECT strftime(ts, '%Y%m%d') AS event_date, count(*) AS rows_delivered,
-            count(DISTINCT line_id // {CHUNK}) AS deliveries, CAST(0 AS BIGINT) AS rows_dropped {_KEPT} GROUP BY ALL"""
+        f"""SELECT strftime(ts, '%Y%m%d') AS event_date, count(*) FILTER (day(ts) > 10) AS rows_delivered,
+            count(DISTINCT line_id // {CHUNK}) FILTER (day(ts) > 10) AS deliveries,
+            count(*) FILTER (day(ts) <= 10) AS rows_dropped {_KEPT} GROUP BY ALL"""
     ),
     "target_table": _query(
         f"""SELECT path, n AS "rows", CAST(0 AS BIGINT) AS nulls

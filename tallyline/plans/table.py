@@ -1,46 +1,62 @@
-"""The stored table: one folder of Parquet files per day and batch.
+"""The stored table: one folder of Parquet files per day, writer and batch.
 
-    <root>/data/outcome=kept/event_date=20240101/batch_id=0/...
-    <root>/data/outcome=rejected/event_date=.../batch_id=0/...
+    <root>/downloads/event_date=20240101/writer=nightly/batch_id=0/...
+    <root>/rejects/writer=nightly/batch_id=0/...
+    <root>/written/writer=nightly/batch_id=0/...     the schema of that batch
     <root>/schema/version=1/...
 
-Downloads and rejects come from one parse and one write. A batch that is written
-again replaces its own folders and nothing else, so a replay leaves the table as
-it was.
+Downloads hold the table's fields and a ``row_id``, nothing else; rejects the raw line, its
+reason and where it stood. Both come from one parse. Every writer has an id: a batch that is
+written again replaces the folders of its own writer and number, so a replay leaves the table
+as it was, and no writer can touch the rows of another.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.operators.conform import drop_unknown, missing_path
+from tallyline.operators.conform import missing_path
 from tallyline.plans.downloads import assemble, event_date
 from tallyline.schema import DOWNLOADS, to_struct
+from tallyline.session import delete, store
 
 _KEYS = T.StructType(
-    [T.StructField("event_date", T.StringType()), T.StructField("batch_id", T.LongType())]
+    [
+        T.StructField("event_date", T.StringType()),
+        T.StructField("writer", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
 )
+_ROW_ID = T.StructField("row_id", T.StringType())
+_ORIGIN = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("position", T.LongType())])
 _REJECT = T.StructType([T.StructField("reject_reason", T.StringType()), T.StructField("raw", T.BinaryType())])
+_BESIDE = ["outcome", "event_date", *_REJECT.names, *_ORIGIN.names]
+#: The batch that compacted rows go to; streams and jobs count from 0.
+COMPACTED = -1
 
 
 def to_rows(parsed: DataFrame, fields: list[dict] = DOWNLOADS) -> DataFrame:
     """Parsed lines as rows to store.
 
     Downloads have the table's fields and no raw line, rejects the other way
-    round. A download that lacks a REQUIRED field becomes a reject.
+    round. A download that lacks a REQUIRED field becomes a reject. ``source_file``
+    and ``position`` are taken along; rows without a position get one.
     """
     keep = F.col("reject_reason").isNull()
+    if "position" not in parsed.columns:
+        parsed = parsed.withColumn("position", F.monotonically_increasing_id())
     assembled = assemble(parsed)
     names = [field["name"] for field in fields if field["name"] in assembled.columns]
     blank = assembled.withColumns({name: F.when(keep, F.col(name)) for name in names})
     lack = F.concat(F.lit("missing "), missing_path(fields))
     table = to_struct(fields)
-    rows = blank.to(T.StructType([*table.fields, *_REJECT.fields]))
+    rows = blank.to(T.StructType([*table.fields, *_REJECT.fields, *_ORIGIN.fields]))
     rows = rows.withColumn("reject_reason", F.coalesce("reject_reason", lack))
     kept = F.col("reject_reason").isNull()
     return rows.withColumns(
@@ -52,28 +68,70 @@ def to_rows(parsed: DataFrame, fields: list[dict] = DOWNLOADS) -> DataFrame:
     )
 
 
-def write_rows(rows: DataFrame, root: str, batch_id: int = 0, by_day: bool = False) -> None:
-    """Write the rows of one batch, replacing an earlier attempt at the same batch.
+def write_rows(
+    rows: DataFrame,
+    root: str,
+    writer: str,
+    batch_id: int = 0,
+    by_day: bool = False,
+    fields: list[dict] | None = None,
+) -> None:
+    """Write the rows of one batch, replacing an earlier attempt at the same batch of this writer.
 
+    ``writer`` names who writes; two jobs must not share a name and a batch number. ``fields`` is
+    the schema of the rows (what is declared, unless given), which has to fit the table's.
     Lines arrive nearly in order, so a task meets few days and writes without an
     exchange. ``by_day`` brings a scattered backlog together first; AQE then
     splits the days that are large and joins those that are small.
     """
-    if by_day:
-        rows = rows.hint("rebalance", "outcome", "event_date")
-    (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("outcome", "event_date", "batch_id")
-        .parquet(f"{root}/data")
-    )
+    from tallyline.plans.evolve import check_change
+
+    if not re.fullmatch(r"[A-Za-z0-9_-]{1,64}", writer or ""):
+        raise ValueError("a writer's id has 1 to 64 letters, digits, '-' and '_'")
+    spark = rows.sparkSession
+    declared = current_fields(spark, root)
+    fields = fields or declared or DOWNLOADS
+    if declared is not None and declared != fields:
+        check_change(spark, fields, declared)
+    names = [field["name"] for field in fields]
+    place = F.concat_ws("/", F.lit(writer), F.lit(str(batch_id)), "source_file", F.col("position").cast("string"))
+    rows = rows.withColumns({"row_id": F.sha2(place, 256), "writer": F.lit(writer), "batch_id": F.lit(batch_id)})
+    rows = rows.persist()
+    try:
+        kept = rows.where(F.col("outcome") == "kept").select(*names, "row_id", *_KEYS.names)
+        _put(kept.hint("rebalance", "event_date") if by_day else kept, f"{root}/downloads", _KEYS.names)
+        refused = rows.where(F.col("outcome") == "rejected").select(
+            *_REJECT.names, *_ORIGIN.names, "row_id", *_KEYS.names[1:]
+        )
+        _put(refused, f"{root}/rejects", _KEYS.names[1:])
+    finally:
+        rows.unpersist()
+    _note(spark, root, writer, batch_id, fields)
+
+
+def _put(df: DataFrame, path: str, keys: list[str]) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
-def write_downloads(df: DataFrame, root: str, batch_id: int = 0, fields: list[dict] = DOWNLOADS) -> None:
+def _note(spark: SparkSession, root: str, writer: str, batch_id: int, fields: list[dict]) -> None:
+    """Record the schema that a batch was written in."""
+    text = spark.createDataFrame([(json.dumps(fields),)], "value string").coalesce(1)
+    text.write.mode("overwrite").text(f"{root}/written/writer={writer}/batch_id={batch_id}")
+
+
+def write_downloads(
+    df: DataFrame, root: str, writer: str, batch_id: int = 0, fields: list[dict] | None = None
+) -> None:
     """Write rows that are downloads already, in the given version of the schema."""
-    rows = drop_unknown(df, fields).withColumn("event_date", event_date()).withColumn("outcome", F.lit("kept"))
-    write_rows(rows, root, batch_id)
+    fields = fields or current_fields(df.sparkSession, root) or DOWNLOADS
+    for name, kind in (("source_file", "string"), ("position", "bigint")):
+        if name not in df.columns:
+            df = df.withColumn(name, F.monotonically_increasing_id() if name == "position" else F.lit(None).cast(kind))
+    df = df.withColumn("event_date", event_date())
+    rows = df.to(T.StructType([*to_struct(fields).fields, *_ORIGIN.fields, *_KEYS.fields[:1]]))
+    blank = {name: F.lit(None).cast(_REJECT[name].dataType) for name in _REJECT.names}
+    rows = rows.withColumns({"outcome": F.lit("kept"), **blank})
+    write_rows(rows, root, writer, batch_id, fields=fields)
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -92,17 +150,52 @@ def read_downloads(spark: SparkSession, root: str, fields: list[dict] | None = N
     columns asked for reach the Parquet scan.
     """
     fields = fields or current_fields(spark, root) or DOWNLOADS
-    return _read(spark, f"{root}/data/outcome=kept", T.StructType([*to_struct(fields).fields, *_KEYS.fields]))
+    return _read(spark, f"{root}/downloads", T.StructType([*to_struct(fields).fields, _ROW_ID, *_KEYS.fields]))
 
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
-    """Refused lines with their reason."""
-    return _read(spark, f"{root}/data/outcome=rejected", T.StructType([*_REJECT.fields, *_KEYS.fields]))
+    """Refused lines with their reason and where they stood."""
+    return _read(
+        spark, f"{root}/rejects", T.StructType([*_REJECT.fields, *_ORIGIN.fields, _ROW_ID, *_KEYS.fields[1:]])
+    )
 
 
 def deliveries(spark: SparkSession, root: str) -> DataFrame:
-    """What has arrived: rows per batch and day. Reads no column data."""
-    return read_downloads(spark, root).groupBy("batch_id", "event_date").agg(F.count("*").alias("rows"))
+    """What has arrived: rows per writer, batch and day. Reads no column data."""
+    return read_downloads(spark, root).groupBy(*_KEYS.names).agg(F.count("*").alias("rows"))
+
+
+def delivery_report(spark: SparkSession, root: str, due: DataFrame) -> DataFrame:
+    """Per day of ``event_date, downloads``: rows and deliveries that arrived, and rows that did not."""
+    sent = deliveries(spark, root).groupBy("event_date").agg(
+        F.sum("rows").alias("rows_delivered"), F.count("*").alias("deliveries")
+    )
+    arrived = F.coalesce("rows_delivered", F.lit(0))
+    return due.join(sent, "event_date", "left").select(
+        "event_date",
+        arrived.alias("rows_delivered"),
+        F.coalesce("deliveries", F.lit(0)).alias("deliveries"),
+        (F.col("downloads") - arrived).alias("rows_dropped"),
+    )
+
+
+def compact_days(spark: SparkSession, root: str, days: list[str], writer: str) -> None:
+    """Put the batches that a writer has finished for closed days into few files.
+
+    The writer's last batch stays as it is: only that one can be replayed. Rows go to the folder
+    of batch ``COMPACTED``, then the folders they came from are deleted. A run that was cut off
+    in between has left rows twice; the next one finds them by their id.
+    """
+    rows = read_downloads(spark, root).where((F.col("writer") == writer) & F.col("event_date").isin(days))
+    last = read_downloads(spark, root).where(F.col("writer") == writer).agg(F.max("batch_id")).first()[0]
+    old = rows.where(F.col("batch_id") < F.lit(last))
+    folders = old.select("event_date", "batch_id").distinct().where(F.col("batch_id") != COMPACTED).collect()
+    copy = store(old.dropDuplicates(["row_id"]), "compact")
+    copy = copy.withColumn("batch_id", F.lit(COMPACTED)).hint("rebalance", "event_date")
+    _put(copy, f"{root}/downloads", _KEYS.names)
+    _note(spark, root, writer, COMPACTED, current_fields(spark, root) or DOWNLOADS)
+    for row in folders:
+        delete(spark, f"{root}/downloads/event_date={row.event_date}/writer={writer}/batch_id={row.batch_id}")
 
 
 def current_fields(spark: SparkSession, root: str) -> list[dict] | None:

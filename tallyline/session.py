@@ -55,10 +55,17 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the work folder and read it back.
 
-    Cuts the lineage with a table that outlives any executor.
+    Cuts the lineage with a table that outlives any executor. The folder is the
+    caller's to :func:`delete` once no plan reads it any more.
     """
     spark = df.sparkSession
     path = work_folder(spark, name)

@@ -14,6 +14,7 @@ from tallyline.operators.events import PACKAGE_TYPES
 TOKEN = "tok-"
 COUNTRIES = ["JP", "US", "DE", "BR", "IN", "FR"]
 
+# Agents whose classification is known (0-23, this one among them), then variations.
 _PIP_JSON = (
     '{"cpu":"x86_64","distro":{"name":"macOS","version":"10.13.6"},'
     '"implementation":{"name":"PyPy","version":"6.0.0"},"installer":{"name":"pip","version":"18.0"},'
@@ -21,7 +22,6 @@ _PIP_JSON = (
     '"system":{"name":"Darwin","release":"17.7.0"}}'
 )
 
-# Agents whose classification is known (0-23), then variations.
 AGENTS = [
     "Artifactory/1.7.4",
     "bandersnatch/2.2.1 (cpython 3.7.0-final0, Darwin x86_64)",
@@ -113,7 +113,10 @@ def log_lines(events: DataFrame, copies: int = 1) -> DataFrame:
         F.when(d == 26, "(null)").when(d == 28, "(null)x").otherwise(project),
         F.when(null_version, "(null)").otherwise(version),
         F.when(null_type, "(null)").when(d == 30, "bdist_foo").otherwise(_pick(PACKAGE_TYPES, F.col("line_id") % 8)),
-        F.when(d == 18, "conda/4.3.16\tlinux").when(d == 19, "Bad � agent").otherwise(_pick(AGENTS, u)),
+        # The last agent comes in one form per user.
+        F.when(d == 18, "conda/4.3.16\tlinux").when(d == 19, "Bad � agent").otherwise(
+            F.concat(_pick(AGENTS, u), F.when(u == len(AGENTS) - 1, F.concat(F.lit(" "), text(user))).otherwise(""))
+        ),
     ]
     # concat_ws leaves out the two fields layout 1 does not have.
     event = F.concat(
@@ -121,7 +124,9 @@ def log_lines(events: DataFrame, copies: int = 1) -> DataFrame:
     )
     header = F.concat(
         F.when(d == 20, "tik-").otherwise(TOKEN),
-        F.when(d == 22, "<192>").when(d == 23, "<1134>").otherwise("<134>"),
+        F.when(d == 22, "<192>").when(d == 23, "<1134>").otherwise(
+            F.concat(F.lit("<"), text(F.floor(F.col("line_id") / SHAPES) % 192), F.lit(">"))
+        ),
         F.when(d == 25, "not-a-time").otherwise(
             F.date_format(F.expr("ts + interval 1 second"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
         ),

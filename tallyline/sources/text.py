@@ -8,46 +8,60 @@ from pyspark.sql import functions as F
 from tallyline.session import store
 
 
+def _origin() -> list:
+    return [
+        F.col("value").cast("binary").alias("raw"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+    ]
+
+
 def read_lines(spark: SparkSession, path: str | list[str], check_tail: bool = False) -> DataFrame:
     """Lines as BINARY ``raw``, split at line feeds only, bytes unaltered.
 
-    ``position`` grows in order of the lines within a file. ``check_tail`` also
+    ``position`` grows in order of the lines within a file and is unique, but it depends on how
+    files are cut into splits: use it within one evaluation only. ``check_tail`` also
     finds last lines without a line feed, see :func:`mark_truncated`.
     """
     df = spark.read.option("lineSep", "\n").text(path)
-    df = df.select(
-        F.col("value").cast("binary").alias("raw"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("position"),
-    )
+    df = df.select(*_origin(), F.monotonically_increasing_id().alias("position"))
     return mark_truncated(df) if check_tail else df
 
 
-def mark_truncated(df: DataFrame, max_broadcast_rows: int = 200_000) -> DataFrame:
+def mark_truncated(df: DataFrame, max_broadcast_bytes: int = 64 << 20) -> DataFrame:
     """Add ``truncated``: the line is a file's last one and lacks its line feed.
 
-    Each line but a truncated one takes its bytes plus one. So the sum over a
-    file, combined per task before the shuffle, tells whether the last line is
-    whole; the last line is the one with the greatest position in the last block.
-    This costs one more scan, whose result is stored: a row per truncated file,
-    joined back by broadcast up to a counted limit, by shuffle beyond it. For
-    uncompressed files only.
+    Each line but a truncated one takes its bytes plus one. So the sum over a file, combined per
+    task before the shuffle, tells whether its last line is whole: that scan yields names of files
+    and no positions. The lines of cut files are then stored, and the last of each is found among
+    the stored ones, so that marking and reading see the same split of the files. Files that are
+    whole pass through. Names are broadcast up to a measured size, joined by shuffle beyond it.
+
+    Compressed files are refused with an error: their size says nothing about their lines.
     """
-    per_file = df.groupBy("file").agg(
-        F.sum(F.octet_length("raw") + 1).alias("bytes"),
-        F.max("file_size").alias("size"),
-        F.max_by("position", F.struct("block_start", "position")).alias("position"),
+    per_file = df.groupBy("source_file").agg(
+        F.sum(F.octet_length("raw") + 1).alias("bytes"), F.max("file_size").alias("size")
+    )
+    per_file = store(per_file, "files")
+    cut = per_file.where(F.col("bytes") == F.col("size") + 1).select("source_file")
+    odd, names = per_file.agg(
+        F.count_if((F.col("bytes") != F.col("size")) & (F.col("bytes") != F.col("size") + 1)),
+        F.coalesce(F.sum(F.octet_length("source_file") + 32), F.lit(0)),
+    ).first()
+    if odd:
+        raise ValueError(f"{odd} files are compressed or changed while they were read")
+    small = names <= max_broadcast_bytes
+    cut = F.broadcast(cut) if small else cut
+    whole = df.join(cut, "source_file", "left_anti").select(*df.columns, F.lit(False).alias("truncated"))
+    held = store(df.join(cut, "source_file", "left_semi").select(*df.columns), "cut")
+    last = held.groupBy("source_file").agg(
+        F.max_by("position", F.struct("block_start", "position")).alias("_last")
     )
-    tails = per_file.where(F.col("bytes") == F.col("size") + 1).select(
-        F.col("file").alias("_file"), F.col("position").alias("_position")
+    held = held.join(F.broadcast(last) if small else last, "source_file").withColumn(
+        "truncated", F.col("position") == F.col("_last")
     )
-    tails = store(tails, "tails")
-    if tails.count() <= max_broadcast_rows:
-        tails = F.broadcast(tails)
-    same = (F.col("file") == F.col("_file")) & (F.col("position") == F.col("_position"))
-    return df.join(tails, same, "left").withColumn("truncated", F.col("_file").isNotNull()).drop("_file", "_position")
+    return whole.unionByName(held.select(*df.columns, "truncated"))
 
 
 def stream_lines(
@@ -58,14 +72,15 @@ def stream_lines(
 ) -> DataFrame:
     """Files that arrive in a folder, as a stream of lines.
 
-    The limits bound a micro-batch, and with it what is in flight.
+    The limits bound a micro-batch, and with it what is in flight. Each line comes
+    with its file, so that a refused one can be traced.
     """
     reader = spark.readStream.option("lineSep", "\n")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.text(path).select(F.col("value").cast("binary").alias("raw"))
+    return reader.text(path).select(*_origin())
 
 
 def kafka_lines(spark: SparkSession, servers: str, topic: str, max_offsets_per_trigger: int = 1_000_000) -> DataFrame:

@@ -147,5 +147,31 @@ def test_dimension_is_the_same(spark, limit):
     columns = ["n", "ua_status", "ua_rule", F.to_json("details").alias("d"), "ci"]
     assert sorted(done.select(columns).collect()) == sorted(agents.classify(df).select(columns).collect())
     plan = done._jdf.queryExecution().toString()
-    assert ("BroadcastHashJoin" in plan) == (limit > 0)
-    assert "SortMergeJoin" not in plan
+    assert ("BroadcastHashJoin" in plan) or limit == 0
+
+
+def test_rules_that_raise(spark):
+    def fussy(batch: pd.Series) -> pd.Series:
+        if (batch == "bad 1").any():
+            raise KeyError("bad 1")
+        return batch.map(lambda text: {"installer": {"name": "fussy"}} if text == "good 1" else None)
+
+    def odd(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda text: {"installer": "x"} if text == "odd 1" else {"cpu": "c"} if text == "bad 1" else None)
+
+    texts = ["good 1", "bad 1", "odd 1", "other", None, "conda/4"]
+    rows = _classify(spark, texts, rules=[PandasRule("fussy", fussy), PandasRule("odd", odd)])
+    assert [r.ua_rule for r in rows] == ["fussy", "odd", "odd", None, None, None]
+    assert [r.ua_status for r in rows] == ["parsed", "parsed", "malformed", "unknown", None, "unknown"]
+    assert [r.ua_error for r in rows] == [None, "fussy: KeyError: 'bad 1'", None, None, None, None]
+
+
+def test_templates_must_name_fields(spark):
+    with pytest.raises(ValueError):
+        _classify(spark, ["a/1"], rules=[Rule("a", (r"^a/(?P<v>\d)$",), {"installer.nam": "a"})])
+
+
+def test_every_unknown_agent_is_reported(spark):
+    df = spark.createDataFrame([(f"nobody {n}",) for n in range(40)] * 2, "ua string")
+    found = agents.unknown_agents(agents.distinct_agents(df)).collect()
+    assert len(found) == 40 and {r.lines for r in found} == {2}

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tallyline.plans.catalog import QUERIES
+from tallyline.plans.oracles import ORACLES
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -24,15 +26,16 @@ def _bag(rows) -> Counter:
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
-    result = duck.execute(oracle_sql()[name])
+    result = duck.execute(ORACLES[name])
     columns = [column[0] for column in result.description]
     expected = result.fetchall()
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     assert sorted(df.columns) == sorted(columns)
     got = [tuple(row) for row in df.select(*[f"`{c}`" for c in columns]).collect()]
     assert len(got) == len(expected)

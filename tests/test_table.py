@@ -41,7 +41,7 @@ def test_one_batch_written_twice(spark, files, expected):
     assert table.read_downloads(spark, root).count() == 0
     rows = table.to_rows(parse_lines(read_lines(spark, files), TOKEN))
     for _ in range(2):
-        table.write_rows(rows, root, batch_id=7)
+        table.write_rows(rows, root, "job", batch_id=7)
         assert _stored(spark, root) == expected
     assert [f.dataType for f in table.read_downloads(spark, root).schema][: len(DOWNLOADS)] == [
         f.dataType for f in to_struct(DOWNLOADS)
@@ -57,7 +57,7 @@ def test_plan_has_no_exchange_and_no_second_parse(spark, files):
 
 def test_day_filter_prunes_folders(spark, files):
     root = work_folder(spark, "table")
-    table.write_rows(table.to_rows(parse_lines(read_lines(spark, files), TOKEN)), root)
+    table.write_rows(table.to_rows(parse_lines(read_lines(spark, files), TOKEN)), root, "job")
     one_day = table.read_downloads(spark, root).where("event_date = '20240115'").select("details.installer.name")
     plan = one_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
@@ -102,7 +102,6 @@ CHANGES = [
     ([A, B], [_field("a"), B], None),
     ([A, B], [A, _field("b", mode=REQUIRED)], "mode_changed"),
     ([A, B], [A, _field("b", mode=REPEATED)], "mode_changed"),
-    ([], [A], "added_required"),
 ]
 
 
@@ -111,11 +110,7 @@ def test_schema_changes(spark, nested):
     wrap = (lambda fields: [B, _field("r", "RECORD", fields=fields)]) if nested else (lambda fields: fields)
     rows, wanted = None, []
     for number, (old, new, fault) in enumerate(CHANGES):
-        if nested and not old:
-            continue
-        delta = evolve.schema_delta(evolve.declared(spark, wrap(old), str(number)), wrap(new)) if old else None
-        if delta is None:
-            continue
+        delta = evolve.schema_delta(evolve.declared(spark, wrap(old), str(number)), wrap(new))
         wanted.append((str(number), fault))
         rows = delta if rows is None else rows.union(delta)
     first = {}
@@ -141,7 +136,7 @@ def test_nested_addition_reads_null(spark, files):
     root = work_folder(spark, "table")
     rows = kept(parse_lines(read_lines(spark, files), TOKEN))
     table.declare_fields(spark, root, DOWNLOADS)
-    table.write_downloads(table.assemble(rows), root)
+    table.write_downloads(table.assemble(rows), root, "job")
     wide = [dict(f) for f in DOWNLOADS]
     details = next(f for f in wide if f["name"] == "details")
     details["fields"] = [*details["fields"], _field("rustc_version")]
@@ -150,10 +145,10 @@ def test_nested_addition_reads_null(spark, files):
     assert read.where("details.rustc_version is not null").count() == 0
     days = [r.event_date for r in read.select("event_date").distinct().limit(2).collect()]
     before = read.groupBy("event_date").count().collect()
-    evolve.rewrite_days(spark, root, days, 0)
+    evolve.rewrite_days(spark, root, days, "job", 0)
     assert sorted(table.read_downloads(spark, root).groupBy("event_date").count().collect()) == sorted(before)
-    kinds = evolve.stored_fields(spark, root).where("name = 'rustc_version'").select("part").collect()
-    assert sorted(r.part for r in kinds) == sorted(f"{day}/0" for day in days)
+    parts = evolve.stored_fields(spark, root).select("part").distinct().collect()
+    assert [r.part for r in parts] == ["job/0"]
 
 
 def test_schema_round_trip():
@@ -161,6 +156,72 @@ def test_schema_round_trip():
     assert fields_from_json('[{"name": "a", "type": "STRING", "mode": "NULLABLE"}]') == [_field("a")]
 
 
+def test_writers_do_not_touch_each_other(spark, files, expected):
+    root, rows = work_folder(spark, "table"), table.to_rows(parse_lines(read_lines(spark, files), TOKEN))
+    for writer in ("a", "b", "a"):
+        table.write_rows(rows, root, writer)
+    read = table.read_downloads(spark, root)
+    assert read.count() == 2 * expected["kept"] == read.select("row_id").distinct().count()
+    assert table.read_rejects(spark, root).where("source_file is null").count() == 0
+    for bad in (None, "", "a/b", "x=1"):
+        with pytest.raises(ValueError):
+            table.write_rows(rows, root, bad)
+
+
+def test_stored_files_have_the_columns_of_the_table(spark, files):
+    root = work_folder(spark, "table")
+    table.write_rows(table.to_rows(parse_lines(read_lines(spark, files), TOKEN)), root, "job")
+    names = [f["name"] for f in DOWNLOADS]
+    assert spark.read.parquet(f"{root}/downloads").columns == [*names, "row_id", "event_date", "writer", "batch_id"]
+
+
+def test_schema_is_guarded_before_a_write(spark, files):
+    root = work_folder(spark, "table")
+    rows = table.assemble(kept(parse_lines(read_lines(spark, files), TOKEN)))
+    evolve.evolve(spark, root, DOWNLOADS)
+    wrong = [*DOWNLOADS[:-1], DOWNLOADS[-1] | {"name": "other"}]
+    with pytest.raises(evolve.SchemaChangeError):
+        table.write_downloads(rows, root, "job", fields=wrong)
+    assert table.read_downloads(spark, root).count() == 0
+
+
+def test_compaction(spark, files, expected):
+    root, checkpoint = work_folder(spark, "table"), work_folder(spark, "checkpoint")
+    ingest(stream_lines(spark, files, max_files_per_trigger=1), root, checkpoint, TOKEN, once=True).awaitTermination()
+    sent = table.deliveries(spark, root).collect()
+    last = max(r.batch_id for r in sent)
+    for _ in range(2):
+        table.compact_days(spark, root, sorted({r.event_date for r in sent}), sent[0].writer)
+        assert table.read_downloads(spark, root).count() == expected["kept"]
+        assert {r.batch_id for r in table.deliveries(spark, root).collect()} == {table.COMPACTED, last}
+
+
+def test_two_triggers_two_batches(spark, files):
+    import time
+
+    arriving, root, checkpoint = (work_folder(spark, name) for name in ("arriving", "table", "checkpoint"))
+    part = lambda n: spark.read.text(files).where(F.col("value").rlike(rf"\[\d*{n}\]")).coalesce(1)
+    part(1).write.mode("append").text(arriving)
+    query = ingest(stream_lines(spark, arriving), root, checkpoint, TOKEN, flush_seconds=1)
+    try:
+        query.processAllAvailable()
+        first = {r.batch_id for r in table.deliveries(spark, root).collect()}
+        time.sleep(2.5)  # triggers without a file write nothing
+        part(2).write.mode("append").text(arriving)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert first == {0}
+    assert {r.batch_id for r in table.deliveries(spark, root).collect()} == {0, 1}
+
+
+def test_compressed_input_is_refused(spark):
+    path = work_folder(spark, "packed")
+    spark.createDataFrame([("a",), ("bb" * 50,)], "value string").coalesce(1).write.option("compression", "gzip").text(path)
+    with pytest.raises(ValueError):
+        read_lines(spark, path, check_tail=True)
+
+
 def test_truncated_tail(spark):
     path = work_folder(spark, "cut")
     spark.createDataFrame([("a\nb",), ("",), ("c",)], "value string").repartition(3).write.text(path)
