@@ -9,17 +9,21 @@ on a class form a region (the Voronoi cell of radius zero around that piece as i
 
 Within a region distances are informative, and regions are joined recursively:
 
-* the first document of a region is its pivot, its distance to all members is computed, and
-  members within ``eps`` link to it (so a group of n near copies costs n pairs, not n * n);
-* a region whose members are all connected already is done. Of a small one the remaining pairs
-  are compared, unless the distances to the pivot differ by more than ``eps``;
-* a larger one gets several pivots. Every member goes to the nearest (its Voronoi region), and
-  is replicated to each other whose distance is at most 2 * ``eps`` larger, as the triangle
-  inequality demands. Where that would double a region it stays whole, without its pivots.
-
-Pivots leave a region once they were compared with all of it, so the recursion ends, and no
-link between two different sets is lost: each is found, or its ends are connected by others.
-Equal sets are one node throughout.
+* the most central member of a region (the one that shares most regions with others) is its
+  pivot, its distance to all members is computed, and members within ``eps`` link to it (so a
+  group of n near copies costs n pairs, not n * n);
+* a region whose members are all connected already is done. Of a small one the pairs that are
+  not connected are compared, unless by the triangle inequality their distances to the pivot,
+  which differ by more than ``eps``, rule them out;
+* one too large for a task (``BLOCK`` members) gets several pivots. Every member goes to the
+  nearest (its Voronoi region), and is replicated to each other whose distance is at most
+  2 * ``eps`` larger, as the triangle inequality demands. Where that would double a region it
+  stays whole, without its pivots, which were compared with all of it;
+* what is left is joined block by block, a pair of blocks to a task, all pairs of blocks; a task
+  returns no more links than it takes to connect what it found connected.
+
+So no link between two different sets is lost: each is found, or its ends are connected by
+others. Equal sets are one node throughout.
 
 Sets are held as 64-bit hashes of shingles, nodes as a 64-bit hash of the set. Null and empty
 texts have an empty set and no links. Ties are broken by the hash of the set, ids by value.
@@ -39,8 +43,9 @@ from pyspark.sql.window import Window
 
 from tallyline.llm.common import Stored, WordHashes, mix
 
-#: Members up to which the pairs of a region are compared, and pivots of a larger one.
-SMALL, PIVOTS = 24, 8
+#: Members up to which the pairs of a region are listed, members of a block that a task joins,
+#: pivots of a region over that size, and times that such regions are split by pivots.
+SMALL, BLOCK, PIVOTS, ROUNDS = 16, 1500, 8, 3
 #: Sets that a task remembers as already sent.
 SEEN = 200_000
 
@@ -75,7 +80,7 @@ class Signatures:
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
-        self.width = log(den / num)
+        self.width = log(den / num) * 1.001  # a little more, so that rounding cannot part two levels
         self.tops: dict[int, int] = {}
 
     def top(self, level: int) -> int:
@@ -240,14 +245,20 @@ def similar(
     in_region = Window.partitionBy("sig")
     cells = store.put(
         _signatures(docs, n, num, den)
-        .withColumn("pivot", F.min("node").over(in_region))
+        .withColumn("first", F.min("node").over(in_region))
         .withColumn("last", F.max("node").over(in_region))
-        .where("pivot <> last")
-        .select("sig", "node", "pivot"),
+        .where("first <> last")
+        .select("sig", "node"),
         "cells",
     )
-    stars = store.put(cells.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    wanted = store.put(stars.select(F.col("a").alias("node")).union(stars.select(F.col("b").alias("node"))).distinct(), "wanted")
+    sizes = cells.withColumn("size", F.count("*").over(in_region))
+    central = store.put(sizes.groupBy("node").agg(F.sum("size").alias("rank")), "central")
+    ranked = cells.join(central, "node").withColumn(
+        "pivot", F.max(F.struct("rank", "node")).over(in_region)["node"]
+    )
+    ranked = store.put(ranked.where("node <> pivot").select("sig", "node", "pivot"), "ranked")
+    stars = store.put(ranked.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    wanted = central.select("node")
     first = members.where("node is not null").join(wanted, "node").groupBy("node").agg(F.min("id").alias("rep"))
     texts = docs.join(first.select("rep").distinct(), F.col("id").eqNullSafe(F.col("rep")), "left_semi")
     sets = _contents(texts, n).join(wanted, "node", "left_semi").dropDuplicates(["node"])
@@ -260,42 +271,38 @@ def similar(
 
     # What is left of each region: members with the distance to its pivot, without the pivot.
     away = 1 - F.col("inter") / F.col("total")
-    rest = (
-        cells.where("node <> pivot")
-        .join(measured.select(F.col("a").alias("pivot"), F.col("b").alias("node"), away.alias("d")), ["pivot", "node"])
-        .select("sig", "node", "d")
-    )
+    rest = ranked.join(
+        measured.select(F.col("a").alias("pivot"), F.col("b").alias("node"), away.alias("d")), ["pivot", "node"]
+    ).select("sig", "node", "d")
+    rest = store.put(_open_regions(rest, roots), "rest")
     eps = 1 - num / den + 1e-9
-    while True:
-        found = _open_regions(rest, roots)
-        rest = store.put(found, "rest")
-        if rest.limit(1).count() == 0:
+    ready = rest.where(F.col("members") <= BLOCK)
+    for _ in range(ROUNDS):
+        large = rest.where(F.col("members") > BLOCK)
+        if large.limit(1).count() == 0:
             break
-        small = rest.where(F.col("members") <= SMALL)
-        other = small.select("sig", F.col("node").alias("other"), F.col("d").alias("e"), F.col("root").alias("far"))
-        near = (
-            small.join(other, "sig")
-            .where((F.col("node") < F.col("other")) & (F.col("root") != F.col("far")) & (F.abs(F.col("d") - F.col("e")) <= eps))
-            .select(F.col("node").alias("a"), F.col("other").alias("b"))
-        )
-        large = rest.where(F.col("members") > SMALL)
-        rank = F.row_number().over(Window.partitionBy("sig").orderBy("node"))
-        pivots = large.withColumn("rank", rank).where(F.col("rank") <= PIVOTS)
-        pivots = store.put(pivots.select("sig", F.col("node").alias("pivot")), "pivots")
-        at = store.put(large.join(pivots, "sig").where("node <> pivot").select("sig", "node", "pivot"), "at")
-        apart = F.when(F.col("node") < F.col("pivot"), F.struct(F.col("node").alias("a"), F.col("pivot").alias("b")))
-        apart = apart.otherwise(F.struct(F.col("pivot").alias("a"), F.col("node").alias("b")))
-        tested = store.put(_measure(near.union(at.select(apart.alias("p")).select("p.a", "p.b")).distinct(), sets), "tested")
-        links = links.union(tested.where(linked).select("a", "b"))
+        at, found = _around_pivots(store, large.join(central, "node"), sets)
+        links = links.union(found.where(linked).select("a", "b"))
         roots = components(store, links)
-        gap = tested.select("a", "b", away.alias("d"))
+        gap = found.select("a", "b", away.alias("d"))
         gap = gap.union(gap.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
-        rest = _voronoi(
-            at.join(pivots.withColumnRenamed("pivot", "node"), ["sig", "node"], "left_anti")
-            .join(gap.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "d"), ["pivot", "node"])
-            .select("sig", "node", "pivot", "d"),
-            eps,
-        )
+        at = at.join(gap.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "d"), ["pivot", "node"])
+        rest = store.put(_open_regions(_voronoi(at, eps), roots), "rest")
+        ready = ready.union(rest.where(F.col("members") <= BLOCK))
+    ready = ready.union(rest.where(F.col("members") > BLOCK))
+
+    small = ready.where(F.col("members") <= SMALL)
+    other = small.select("sig", F.col("node").alias("b"), F.col("d").alias("e"), F.col("root").alias("far"))
+    near = (
+        small.withColumnRenamed("node", "a")
+        .join(other, "sig")
+        .where((F.col("a") < F.col("b")) & (F.col("root") != F.col("far")) & (F.abs(F.col("d") - F.col("e")) <= eps))
+        .select("a", "b")
+        .distinct()
+    )
+    links = links.union(_measure(near, sets).where(linked).select("a", "b"))
+    links = links.union(_join_blocks(ready.where(F.col("members") > SMALL), sets, num, den))
+    roots = components(store, store.put(links, "links"))
 
     by_node = members.where("node is not null").groupBy("node").agg(F.min("id").alias("least"))
     named = by_node.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
@@ -320,6 +327,94 @@ def _open_regions(rest: DataFrame, roots: DataFrame) -> DataFrame:
     )
 
 
+def _around_pivots(store: Stored, large: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The central members of large regions as pivots: ``sig, node, pivot``, and the measured pairs."""
+    order = Window.partitionBy("sig").orderBy(F.desc("rank"), "node")
+    placed = large.withColumn("place", F.row_number().over(order))
+    pivots = store.put(placed.where(F.col("place") <= PIVOTS).select("sig", F.col("node").alias("pivot")), "pivots")
+    others = large.join(pivots.withColumnRenamed("pivot", "node"), ["sig", "node"], "left_anti")
+    at = store.put(large.join(pivots, "sig").where("node <> pivot").select("sig", "node", "pivot"), "at")
+    pairs = at.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    found = store.put(_measure(pairs, sets), "tested")
+    return at.join(others.select("sig", "node"), ["sig", "node"]), found
+
+
+def _join_blocks(regions: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links ``a, b`` within regions, found by pairs of blocks.
+
+    A region of one block is one group; a larger one gives a group for each pair of its blocks,
+    so no task holds more than two blocks.
+    """
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    spread = (
+        regions.withColumn("blocks", blocks)
+        .withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            F.xxhash64("sig", F.least("mine", "other"), F.greatest("mine", "other")).alias("sig"), "node", "root"
+        )
+    )
+
+    def run(group: pa.Table) -> pa.Table:
+        nodes = group.column("node").to_numpy()
+        roots = group.column("root").to_numpy()
+        found = [x.values.to_numpy() for x in group.column("found")]
+        a, b = connect(nodes, roots, found, num, den)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    # Regions of the same members are joined once.
+    same = Window.partitionBy("sig")
+    spread = spread.distinct().withColumn(
+        "group", F.struct(F.sum(F.col("node") / 1024).over(same), F.bit_xor("node").over(same), F.count("*").over(same))
+    )
+    spread = spread.select(F.xxhash64("group").alias("sig"), "node", "root").distinct()
+    return spread.join(sets, "node").groupBy("sig").applyInArrow(run, "a bigint, b bigint")
+
+
+def connect(
+    nodes: np.ndarray, roots: np.ndarray, found: list[np.ndarray], num: int, den: int
+) -> tuple[list[int], list[int]]:
+    """Links that connect what links connect among some sets, no more of them than needed.
+
+    Sizes of intersections are products of the incidence matrix, by slices of its columns.
+    """
+    sizes = np.array([len(x) for x in found])
+    tokens, column, count = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(found)), sizes)
+    shared = count > 1
+    place = np.cumsum(shared) - 1
+    keep = shared[column]
+    row, column = row[keep], place[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    inter = np.zeros((len(found), len(found)), np.float32)
+    for start in range(0, int(shared.sum()), 2048):
+        lo, hi = np.searchsorted(column, [start, start + 2048])
+        x = np.zeros((len(found), min(2048, int(shared.sum()) - start)), np.float32)
+        x[row[lo:hi], column[lo:hi] - start] = 1
+        inter += x @ x.T
+    inter = inter.astype(np.int64)
+    ok = inter * den >= (sizes[:, None] + sizes[None, :] - inter) * num
+    i, j = np.nonzero(np.triu(ok & (roots[:, None] != roots[None, :]), 1))
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := parent.get(x, x)) != x:
+            parent[x] = parent.get(y, y)
+            x = y
+        return x
+
+    a, b = [], []
+    for p, q in zip(i.tolist(), j.tolist()):
+        x, y = top(int(roots[p])), top(int(roots[q]))
+        if x != y:
+            parent[x] = y
+            a.append(int(nodes[p]))
+            b.append(int(nodes[q]))
+    return a, b
+
+
 def _voronoi(at: DataFrame, eps: float) -> DataFrame:
     """Regions by nearest pivot with their windows, from ``sig, node, pivot, d``.
 
