@@ -56,10 +56,10 @@ _GAP = r"[^\p{L}\p{N}_+\r\n]{0,5}"
 
 #: Kind and pattern, in the order in which they are tried at a place.
 PATTERNS: list[tuple[str, str]] = [
-    ("secret", rf"\b{_KEY}[A-Za-z0-9+/_\-.]{{6,}}"),
+    ("secret", rf"(?=[aApPsStT])\b{_KEY}[A-Za-z0-9+/_\-.]{{6,}}"),
     ("email", r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}"),
-    ("person", rf"\b(?:{_TITLED}|{_GIVEN})"),
-    ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"),
+    ("person", rf"(?=[A-Z])\b(?:{_TITLED}|{_GIVEN})"),
+    ("iban", r"(?=[A-Z])\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"),
     ("ipv6", r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])"),
     ("ip", r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
@@ -67,12 +67,24 @@ PATTERNS: list[tuple[str, str]] = [
     ("card", r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"),
 ]
 ANY = "|".join(p for _, p in PATTERNS)
+#: Kinds that cannot occur without a character, or a class of them.
+NEEDS = {"secret": "[=:]", "email": "@", "person": None}
 #: Kinds whose separators are form: their normal form has letters and digits only.
 SPACED = ["iban", "ssn", "phone", "card"]
 #: Marks around an entity while a text is cut; the second serves texts that hold the first.
 MARKS = ("\ue000\ue001", "\ue002\ue003\ue002")
 
 
+def mentions(text: Column) -> Column:
+    """Whether a text has an entity. Cheap signs come first, as most texts have none of them."""
+    found = F.lit(False)
+    rest = "|".join(p for kind, p in PATTERNS if kind not in NEEDS)
+    groups = [(NEEDS[kind], p) for kind, p in PATTERNS if kind in NEEDS] + [("[0-9]", rest)]
+    for sign, pattern in groups:
+        found = found | (text.rlike(sign) & text.rlike(pattern) if sign else text.rlike(pattern))
+    return F.coalesce(found, F.lit(False))
+
+
 def kind_of(surface: Column) -> Column:
     """The kind of a matched text: the first pattern that covers all of it."""
     out = F.lit(None).cast("string")
@@ -278,7 +290,7 @@ def replace(docs: DataFrame, text_col: str = "text", key: str = "surrogates") ->
     """
     store = Stored(docs.sparkSession)
     text = F.col(text_col)
-    hit = F.coalesce(text.rlike(ANY), F.lit(False))
+    hit = mentions(text)
     columns = docs.columns
     dirty = docs.where(hit).withColumn("_pii_key", F.sha2(text.cast("binary"), 256)).withColumn("_pii_cut", cut(text))
     dirty = store.put(dirty, "dirty")
@@ -290,20 +302,20 @@ def replace(docs: DataFrame, text_col: str = "text", key: str = "surrogates") ->
         .withColumn("found", entities(F.col("surface")))
     )
     spans = store.put(spans.select("key", "at", "surface", "found"), "spans")
-    mentions = spans.select("key", "at", "surface", "found", F.posexplode("found").alias("k", "e")).select(
+    named = spans.select("key", "at", "surface", "found", F.posexplode("found").alias("k", "e")).select(
         "key", "at", "surface", "found", "k", "e.kind", "e.norm"
     )
-    subs = dictionary(mentions.select("kind", "norm"), store, key)
+    subs = dictionary(named.select("kind", "norm"), store, key)
     put = (
-        mentions.join(subs, ["kind", "norm"])
+        named.join(subs, ["kind", "norm"])
         .groupBy("key", "at", "surface", "found")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "sub"))), lambda x: x["sub"]).alias("subs"))
         .select("key", "at", _render(F.col("surface"), F.col("found"), F.col("subs")).alias("new"))
         .groupBy("key")
-        .agg(F.map_from_entries(F.collect_list(F.struct("at", "new"))).alias("new"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("at", "new"))).alias("_pii_new"))
     )
     whole = F.array_join(
-        F.transform("_pii_cut", lambda part, i: F.coalesce(F.element_at("new", i), part)), ""
+        F.transform("_pii_cut", lambda part, i: F.coalesce(F.element_at("_pii_new", i), part)), ""
     )
     done = dirty.join(put.withColumnRenamed("key", "_pii_key"), "_pii_key").withColumn(text_col, whole)
     return docs.where(~hit).select(*columns).unionByName(done.select(*columns))
