@@ -9,7 +9,8 @@ apart, so that a quotation lies whole in one of them; they cover the whole text.
 
 Before its passages are searched, a document is bounded as a whole: each item lists its rarest
 terms, what the rest of the item could add at most, and an item is a candidate only if the two
-can reach the threshold. The bound is never below a passage's score, so nothing is lost by it.
+can reach the threshold. Passages are bounded in the same way by their own terms. The bound is
+never below a passage's score, so nothing is lost by it.
 
 Retrieved items are verified by word shingles of five. The question is the item up to its last
 sentence (the last quarter of an item of one sentence), the answer the rest. An item leaks if
@@ -90,7 +91,10 @@ class Item:
 class Index:
     """The items of one block, by length class."""
 
-    def __init__(self, rows: list[tuple], df: dict[bytes, int], n_items: int, mean_length: float):
+    def __init__(
+        self, rows: list[tuple], df: dict[bytes, int], n_items: int, mean_length: float, threshold: float = THRESHOLD
+    ):
+        self.threshold = threshold
         self.items = [Item(i, w, _answer_at(text, len(w))) for i, text in rows if (w := words_of(text))]
         self.items.sort(key=lambda x: len(x.words))
         self.terms: dict[bytes, int] = {}
@@ -141,7 +145,7 @@ class Index:
             self.classes.append((first, last, longest))
             first = last
 
-    def candidates(self, ids: np.ndarray, threshold: float) -> np.ndarray:
+    def candidates(self, ids: np.ndarray) -> np.ndarray:
         """Items that the terms of a whole document might bring to the threshold."""
         t = np.unique(ids)
         lo, n = self.rare_at[t], self.rare_at[t + 1] - self.rare_at[t]
@@ -150,7 +154,31 @@ class Index:
             return np.empty(0, np.int64)
         at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         bound = np.bincount(self.rare_items[at], self.rare_impacts[at], minlength=len(self.items))
-        return np.flatnonzero((bound > 0) & (bound + self.rest >= threshold - 1e-9))
+        return np.flatnonzero((bound > 0) & (bound + self.rest >= self.threshold - 1e-9))
+
+    def windows(self, ids: np.ndarray, maybe: np.ndarray, first: int, last: int, longest: int) -> np.ndarray:
+        """Windows in which an item of a class, one of ``maybe``, might reach the threshold.
+
+        The same bound as for a whole document, with the terms of the window only.
+        """
+        count = len(range(0, max(1, len(ids) - longest), longest))
+        pos = np.flatnonzero(ids >= 0)
+        t = ids[pos]
+        lo, n = self.rare_at[t], self.rare_at[t + 1] - self.rare_at[t]
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        pos, t, item = np.repeat(pos, n), np.repeat(t, n), self.rare_items[at]
+        chosen = np.zeros(len(self.items), bool)
+        chosen[maybe[(maybe >= first) & (maybe < last)]] = True
+        mine = chosen[item]
+        pos, t, item, impact = pos[mine], t[mine], item[mine], self.rare_impacts[at[mine]]
+        window = np.concatenate([pos // longest, pos // longest - 1])
+        t, item, impact = np.tile(t, 2), np.tile(item, 2), np.tile(impact, 2)
+        inside = (window >= 0) & (window < count)
+        key = (window * len(self.items) + item)[inside]
+        _, once = np.unique(key * len(self.postings) + t[inside], return_index=True)
+        pairs, place = np.unique(key[once], return_inverse=True)
+        bound = np.bincount(place, impact[inside][once], minlength=len(pairs))
+        return np.unique(pairs[bound + self.rest[pairs % len(self.items)] >= self.threshold - 1e-9] // len(self.items))
 
     def search(self, terms: list[int], first: int, last: int, threshold: float) -> list[tuple[int, float]]:
         """Block-max WAND: items of ``first`` up to ``last`` that score the threshold or more."""
@@ -204,22 +232,22 @@ class Index:
                     if c[0] < item:
                         move(c, item)
 
-    def leaks(self, text: str | None, threshold: float) -> list[tuple]:
+    def leaks(self, text: str | None) -> list[tuple]:
         """``(item_id, score, question share, answer share)`` of every item that leaks into a text."""
         found = words_of(text)
         get = self.terms.get
         ids = np.array([get(w, -1) for w in found], dtype=np.int64)
         known = ids[ids >= 0]
-        if not len(known) or not len(maybe := self.candidates(known, threshold)):
+        if not len(known) or not len(maybe := self.candidates(known)):
             return []
         best: dict[int, tuple] = {}
         for first, last, longest in self.classes:
             if not np.any((maybe >= first) & (maybe < last)):
                 continue
-            for start in range(0, max(1, len(found) - longest), longest):
+            for start in (self.windows(ids, maybe, first, last, longest) * longest).tolist():
                 stop = start + 2 * longest
                 window = ids[start:stop]
-                hits = self.search(np.unique(window[window >= 0]).tolist(), first, last, threshold)
+                hits = self.search(np.unique(window[window >= 0]).tolist(), first, last, self.threshold)
                 if not hits:
                     continue
                 words = found[start:stop]
@@ -239,7 +267,7 @@ class Index:
         return [best[k] for k in sorted(best)]
 
 
-def _indexes(items: DataFrame, item_id: str, text: str) -> Iterator[Index]:
+def _indexes(items: DataFrame, item_id: str, text: str, threshold: float) -> Iterator[Index]:
     """One index per block of items; document frequencies are of all items."""
 
     @F.arrow_udf("array<binary>")
@@ -257,7 +285,7 @@ def _indexes(items: DataFrame, item_id: str, text: str) -> Iterator[Index]:
         used = part.select(F.explode("words").alias("word")).distinct().join(df, "word")
         counts = {bytes(r.word): r.df for r in used.collect()}
         rows = [(r.item_id, r.text) for r in part.select("item_id", "text").collect()]
-        yield Index(sorted(rows, key=lambda r: (str(r[0]), r[1])), counts, n, words / n)
+        yield Index(sorted(rows, key=lambda r: (str(r[0]), r[1])), counts, n, words / n, threshold)
 
 
 def leaks(
@@ -271,7 +299,7 @@ def leaks(
     schema = f"id {kind}, item_id {item_kind.simpleString()}, score double, question double, answer double"
     arrow = pa.string() if item_kind.simpleString() == "string" else pa.int64()
     out = spark.createDataFrame([], schema)
-    for index in _indexes(items, "item_id", "text"):
+    for index in _indexes(items, "item_id", "text", threshold):
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -279,7 +307,7 @@ def leaks(
             for batch in batches:
                 rows, at = [], []
                 for i, t in enumerate(batch.column(1)):
-                    found = index.leaks(t.as_py(), threshold)
+                    found = index.leaks(t.as_py())
                     rows += found
                     at += [i] * len(found)
                 columns = list(zip(*rows)) if rows else [[], [], [], []]
