@@ -105,33 +105,35 @@ def merge(piece: bytes, merges: Merges) -> list[int]:
     The heap holds ``rank * n + start``; an entry is stale unless the pair that starts there
     still has this rank.
     """
-    n = len(piece)
-    get = merges.pairs.get
-    ids = [merges.byte_ids[b] for b in piece]
-    after = list(range(1, n + 1))
-    before = list(range(-1, n - 1))
-    pair = [get(a << ID_BITS | b, -1) for a, b in zip(ids, ids[1:])]
-    pair.append(-1)
-    heap = [rank * n + i for i, rank in enumerate(pair) if rank >= 0]
+    n, get, pop, push = len(piece), merges.pairs.get, heapq.heappop, heapq.heappush
+    ids = list(map(merges.byte_ids.__getitem__, piece))
+    pair = [get(a << ID_BITS | b) for a, b in zip(ids, ids[1:])]
+    heap = [rank * n + i for i, rank in enumerate(pair) if rank is not None]
+    if not heap:
+        return ids
     heapq.heapify(heap)
+    pair.append(None)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     while heap:
-        rank, i = divmod(heapq.heappop(heap), n)
+        rank, i = divmod(pop(heap), n)
         if pair[i] != rank:
             continue
         j = after[i]
         k = after[i] = after[j]
-        ids[i], ids[j], pair[j] = rank, -1, -1
-        pair[i] = -1
+        ids[i], ids[j], pair[j] = rank, None, None
         if k < n:
             before[k] = i
-            if (new := get(rank << ID_BITS | ids[k], -1)) >= 0:
-                pair[i] = new
-                heapq.heappush(heap, new * n + i)
-        if (h := before[i]) >= 0:
-            pair[h] = new = get(ids[h] << ID_BITS | rank, -1)
-            if new >= 0:
-                heapq.heappush(heap, new * n + h)
-    return [x for x in ids if x >= 0]
+            pair[i] = new = get(rank << ID_BITS | ids[k])
+            if new is not None:
+                push(heap, new * n + i)
+        else:
+            pair[i] = None
+        h = before[i]
+        if h >= 0:
+            pair[h] = new = get(ids[h] << ID_BITS | rank)
+            if new is not None:
+                push(heap, new * n + h)
+    return [x for x in ids if x is not None]
 
 
 class Encoder:
