@@ -364,12 +364,24 @@ def _join_blocks(regions: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     # Regions of the same members are joined once.
+    spread = _named_by_members(spread.distinct()).distinct()
+    return spread.join(sets, "node").groupBy("sig").applyInArrow(run, "a bigint, b bigint")
+
+
+def _named_by_members(groups: DataFrame) -> DataFrame:
+    """``sig, node, root`` with each group renamed by its members: equal groups get one name.
+
+    The name does not depend on the order of rows, so a task that is computed again after a lost
+    executor gives the same one; sums of doubles would not.
+    """
     same = Window.partitionBy("sig")
-    spread = spread.distinct().withColumn(
-        "group", F.struct(F.sum(F.col("node") / 1024).over(same), F.bit_xor("node").over(same), F.count("*").over(same))
+    members = F.struct(
+        F.bit_xor("node").over(same),
+        F.bit_xor(F.xxhash64("node")).over(same),
+        F.sum(F.col("node").cast("decimal(20,0)")).over(same),
+        F.count("*").over(same),
     )
-    spread = spread.select(F.xxhash64("group").alias("sig"), "node", "root").distinct()
-    return spread.join(sets, "node").groupBy("sig").applyInArrow(run, "a bigint, b bigint")
+    return groups.withColumn("group", members).select(F.xxhash64("group").alias("sig"), "node", "root")
 
 
 def connect(

@@ -87,3 +87,16 @@ def test_signatures_meet_for_every_linked_pair():
             if den * len(a & b) >= num * len(a | b):
                 x, y = (keys.of(jaccard.mix(np.array(sorted(s), np.uint64))) for s in (a, b))
                 assert len(np.intersect1d(x, y)), (a, b)
+
+
+def test_names_of_groups_do_not_depend_on_the_order_of_rows(spark):
+    r = random.Random(5)
+    nodes = [r.randrange(-(2**63), 2**63) for _ in range(300)]
+    names = set()
+    for sig in (1, 2, 3, 4):
+        rows = [(sig, x, x) for x in r.sample(nodes, len(nodes))]
+        df = spark.createDataFrame(rows, "sig long, node long, root long").coalesce(1)
+        names |= {x.sig for x in jaccard._named_by_members(df).collect()}
+    assert len(names) == 1
+    other = spark.createDataFrame([(1, x, x) for x in nodes[1:]], "sig long, node long, root long")
+    assert not names & {x.sig for x in jaccard._named_by_members(other).collect()}
