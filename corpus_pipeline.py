@@ -8,7 +8,7 @@ of each operator.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import bpe, jaccard, langmix, leaks, pii
@@ -29,23 +29,33 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return kept.select(*docs.columns)
 
 
+def row_key() -> Column:
+    """What decisions are carried by: the id, nulls last, and a digest of the text.
+
+    It is never null itself, so joins find rows without an id, and rows that repeat an id are told apart.
+    """
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"))
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group that links of Jaccard 0.8 over five words connect.
 
-    That is the one of the smallest id. Rows that repeat an id stay once for each different text.
-    Texts without a word have no links and stay; rows without an id stay, once per text.
+    That is the one of the smallest id, nulls last, then of the smallest digest of its text. Other
+    groups keep theirs, also under the same id. Rows of the same id and text are one; texts without
+    a word have no links and stay.
     """
-    found = jaccard.similar(docs, n=5, num=80, den=100)
-    gone = found.where("node is not null and id <> component_id").select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
+    keyed = docs.withColumn("_key", row_key())
+    found = jaccard.similar(keyed, "_key", n=5, num=80, den=100)
+    gone = found.where("node is not null and id <> component_id").select(F.col("id").alias("_key")).distinct()
+    return keyed.join(gone, "_key", "left_anti").dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops every document that a test item leaks into."""
-    found = leaks.leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
-    gone = found.select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Drops every document that a test item leaks into, with or without an id, and no other of its id."""
+    keyed = docs.withColumn("_key", row_key())
+    found = leaks.leaks(keyed, table(spark, sf_dir, "benchmark", "item_id", "text"), "_key")
+    gone = found.select(F.col("id").alias("_key")).distinct()
+    return keyed.join(gone, "_key", "left_anti").select(*docs.columns)
 
 
 def surrogate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

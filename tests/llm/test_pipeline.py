@@ -59,3 +59,26 @@ def test_odd_rows(spark):
             frame = Stored(spark).put(stage(spark, frame, SF), "odd")
             n = frame.count()
         assert n in (0, 3)
+
+
+def test_null_and_repeated_ids_are_decided_by_text(spark):
+    copy = [" ".join(f"{c}{i}" for i in range(60)) for c in "abc"]
+    near = [t + " end" for t in copy]
+    rows = [
+        (None, copy[0]), (None, near[0]), (3, near[0]),  # the row with an id stays
+        (None, copy[1]), (None, near[1]),  # one of them stays
+        (5, copy[2]), (4, near[2]), (5, "quite another text of the same id"), (5, "quite another text of the same id"),
+        (None, None), (6, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()]
+    unnamed = [r for r in kept if r[1] in (copy[1], near[1])]
+    assert len(unnamed) == 1
+    want = [(3, near[0]), (4, near[2]), (5, rows[7][1]), (None, None), (6, "")]
+    assert sorted(map(str, kept)) == sorted(map(str, want + unnamed))
+
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(None, item), (None, "clean text"), (1, item), (1, "another clean text"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [tuple(r) for r in corpus_pipeline.leak_stage(spark, docs, SF).collect()]
+    assert sorted(map(str, left)) == sorted(map(str, [rows[1], rows[3], rows[4]]))
