@@ -12,7 +12,10 @@ has one surrogate in the whole corpus, whatever its spelling, and a surname the
 and without a given name. Distinctness is checked: surrogates are made for the distinct
 entities of the corpus, and one that another entity holds, or that is itself an entity there,
 is made again with the next attempt until none is left. Within each clash the smallest normal
-form keeps the surrogate.
+form keeps the surrogate. Forms grow with the attempt, so that every entity finds one: names get
+more parts, and where ``PATIENCE`` attempts failed, as when most numbers of a length are entities,
+numbers and secrets get further digits and an IPv6 address is written in full. Only the forms of
+IPv4 addresses are bounded, by their 3.7 billion.
 
 Texts without an entity, null and empty ones pass as they are. Repeated rows get the same
 result. Other columns are kept; the text column is replaced.
@@ -71,6 +74,8 @@ ANY = "|".join(p for _, p in PATTERNS)
 NEEDS = {"secret": "[=:]", "email": "@", "person": None}
 #: Kinds whose separators are form: their normal form has letters and digits only.
 SPACED = ["iban", "ssn", "phone", "card"]
+#: Attempts after which a surrogate of a fixed form gets longer.
+PATIENCE = 10
 #: Marks around an entity while a text is cut; the second serves texts that hold the first.
 MARKS = ("\ue000\ue001", "\ue002\ue003\ue002")
 
@@ -145,23 +150,25 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
 
 
-def _card(digits: Column, digest: Column) -> Column:
-    drawn = _redraw(digits, digest, keep=1)
+def _card(digits: Column, digest: Column, more: Column) -> Column:
+    drawn = F.concat(_redraw(digits, digest, keep=1), more)
     head = F.substr(drawn, F.lit(1), F.length(drawn) - 1)
     check = F.pmod(F.lit(10) - F.pmod(_luhn(F.concat(head, F.lit("0"))), F.lit(10)), F.lit(10)).cast("string")
     return F.when(F.pmod(_luhn(digits), F.lit(10)) == 0, F.concat(head, check)).otherwise(drawn)
 
 
-def _pick(values: list[str], digest: Column, at: int) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), _number(digest, at, len(values)) + 1)
+def _pick(values: list[str], digest: Column, parts: Column) -> Column:
+    """So many of the values, drawn from a digest."""
+    listed = F.array(*[F.lit(v) for v in values])
+    return F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.element_at(listed, _number(digest, i, len(values)) + 1))
 
 
 def _given(gender: str, text: Column, digest: Column, attempt: Column) -> Column:
     """A given name of a gender; later attempts have more parts."""
     out = F.lit(None).cast("string")
     for script in ("latin", "greek", "cyrillic"):
-        parts = F.array(*[_pick(NAMES[script, gender], digest, i) for i in range(4)])
-        name = F.array_join(F.slice(parts, F.lit(1), F.least(F.lit(4), F.floor(attempt / 3).cast("int") + 1)), "-")
+        parts = F.floor(attempt / 3).cast("int") + 1 + F.greatest(F.lit(0), attempt - PATIENCE)
+        name = F.array_join(_pick(NAMES[script, gender], digest, parts), "-")
         out = F.when(script_of(text) == script, name).otherwise(out)
     return out
 
@@ -169,8 +176,7 @@ def _given(gender: str, text: Column, digest: Column, attempt: Column) -> Column
 def _surname(text: Column, digest: Column, attempt: Column) -> Column:
     out = F.lit(None).cast("string")
     for script in ("latin", "greek", "cyrillic"):
-        parts = F.array(*[_pick(SYLLABLES[script], digest, i) for i in range(8)])
-        name = F.initcap(F.array_join(F.slice(parts, F.lit(1), F.least(F.lit(8), attempt + 3)), ""))
+        name = F.initcap(F.array_join(_pick(SYLLABLES[script], digest, attempt + 3), ""))
         out = F.when(script_of(text) == script, name).otherwise(out)
     return out
 
@@ -192,20 +198,24 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     )
     local = F.substring_index(norm, "@", 1)
     pad = F.lower(F.translate(F.substr(digest, F.lit(1), F.least(F.lit(24), attempt * 4)), "0123456789", "ghijklmnop"))
+    extra = F.greatest(F.lit(0), attempt - PATIENCE)
+    drawn = F.transform(F.sequence(F.lit(0), extra), lambda i: _number(digest, i + 1000, 10).cast("string"))
+    more = F.array_join(F.slice(drawn, F.lit(1), extra), "")
+    full = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substr(digest, 4 * i + 1, F.lit(4))), ":")
     code = F.when(norm.startswith("+"), F.lit(2)).otherwise(F.lit(0))
     return (
         F.when(kind == "email", F.concat(_redraw(local, digest), pad, F.lit("@"), host))
         .when(kind == "ip", _octets(digest))
-        .when(kind == "card", _card(norm, digest))
-        .when(kind == "phone", _redraw(norm, digest, keep=code))
-        .when(kind == "iban", _redraw(norm, digest, keep=2))
-        .when(kind == "ipv6", _redraw(norm, digest, hexadecimal=F.lit(True)))
-        .when(kind == "secret", _redraw(norm, digest, hexadecimal=norm.rlike(r"\A[0-9a-fA-F]+\z")))
+        .when(kind == "card", _card(norm, digest, more))
+        .when(kind == "phone", F.concat(_redraw(norm, digest, keep=code), more))
+        .when(kind == "iban", F.concat(_redraw(norm, digest, keep=2), more))
+        .when(kind == "ipv6", F.when(extra > 0, full).otherwise(_redraw(norm, digest, hexadecimal=F.lit(True))))
+        .when(kind == "secret", F.concat(_redraw(norm, digest, hexadecimal=norm.rlike(r"\A[0-9a-fA-F]+\z")), more))
         .when(kind == "given_m", _given("m", norm, digest, attempt))
         .when(kind == "given_f", _given("f", norm, digest, attempt))
         .when(kind == "given_u", _given("u", norm, digest, attempt))
         .when(kind == "surname", _surname(norm, digest, attempt))
-        .otherwise(_redraw(norm, digest))
+        .otherwise(F.concat(_redraw(norm, digest), more))
     )
 
 
@@ -246,11 +256,12 @@ def _render(surface: Column, found: Column, subs: Column) -> Column:
         ),
         "",
     )
+    rest = F.substr(new, F.length(F.regexp_replace(surface, r"[^\p{L}\p{N}+]", "")) + 1)
     prefix = F.regexp_extract(surface, rf"\A({_KEY})", 1)
     title = F.regexp_extract(surface, rf"\A((?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})\.? {{1,2}})", 1)
     person = F.concat(title, F.when(F.size(subs) > 1, F.concat(subs[1], F.lit(" "))).otherwise(F.lit("")), new)
     return (
-        F.when(kind.isin(SPACED), spread)
+        F.when(kind.isin(SPACED), F.concat(spread, rest))
         .when(kind == "secret", F.concat(prefix, new))
         .when(kind == "surname", person)
         .otherwise(new)
@@ -261,7 +272,7 @@ def dictionary(found: DataFrame, store: Stored, key: str) -> DataFrame:
     """``kind, norm, sub`` for the distinct ``kind, norm``, all surrogates of a kind distinct."""
     family = F.when(F.col("kind").startswith("given"), F.lit("given")).otherwise(F.col("kind")).alias("family")
     real = store.put(found.groupBy("kind", "norm").agg(F.count("*").alias("n")).select("kind", "norm", family), "entities")
-    taken = real.select("family", F.col("norm").alias("form")).distinct()
+    taken = real.select("family", F.lower("norm").alias("form")).distinct()
     made = real.withColumn("attempt", F.lit(0)).withColumn("settled", F.lit(False))
     while True:
         made = made.withColumn("sub", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)).withColumn(

@@ -76,3 +76,16 @@ def test_marks_in_a_text(spark):
     out, _ = _replaced(spark, [(1, text), (2, "x " * 200_000 + "q@z.example.net")])
     assert out[1].startswith(text[:3]) and out[1].endswith(text[-2:]) and "a@b" not in out[1]
     assert out[2].startswith("x " * 1000) and "q@z" not in out[2] and out[2].endswith(".example.net")
+
+
+def test_more_entities_than_forms(spark):
+    from itertools import product
+
+    phones = [f"+1{i:04d}" for i in range(1000, 7000)]  # 10,000 forms, of which 4,000 are free
+    names = ["".join(x) for x in product("αεηιοω", repeat=4)][:400]  # 340 forms of at most four parts
+    texts = [f"Call {p}." for p in phones] + [f"Dr. Α{x} Πέτρου spoke." for x in names] + ["token=......"]
+    out, n = _replaced(spark, list(enumerate(texts)))
+    new = [re.fullmatch(r"Call (\+1\d{4,})\.", out[i]).group(1) for i in range(len(phones))]
+    assert n == len(texts) and len(set(new)) == len(phones) and not set(new) & set(phones)
+    given = {re.fullmatch(r"Dr\. (\S+) \S+ spoke\.", out[i + len(phones)]).group(1) for i in range(len(names))}
+    assert len(given) == len(names) and out[len(texts) - 1] != texts[-1]
