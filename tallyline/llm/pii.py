@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 from tallyline.llm.common import Stored
 
 # Titles and given names that tell the gender, and surrogate names by script.
-MALE_TITLES = "Mr|Sir|Herr|Monsieur|Señor|Sr|Signor"
-FEMALE_TITLES = "Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Mlle|Señora|Sra|Signora"
-OTHER_TITLES = "Dr|Prof|Professor|Doctor"
-MALE_GIVEN = "James|John|Robert|Michael|William|David|Richard|Thomas|Daniel|Peter|Hans|Klaus|Jean|Pierre|Juan|Carlos|José"
-FEMALE_GIVEN = "Mary|Patricia|Jennifer|Linda|Elizabeth|Susan|Sarah|Anna|Emma|Julia|Ursula|Monika|Marie|Sophie|María|Carmen|Lucía"
+MALE_TITLES = r"Mr|Sir|Herr|Monsieur|Señor|Sr|Signor|г-н|господин|Господин|κ\.|κύριος|Κύριος"
+FEMALE_TITLES = "Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Mlle|Señora|Sra|Signora|г-жа|госпожа|Госпожа|κα|κυρία|Κυρία"
+OTHER_TITLES = "Dr|Prof|Professor|Doctor|д-р|доктор|Доктор|δρ|Δρ"
+MALE_GIVEN = "James|John|Robert|Michael|William|David|Richard|Thomas|Daniel|Peter|Hans|Klaus|Jean|Pierre|Juan|Carlos|José|Иван|Пётр|Петр|Сергей|Алексей|Дмитрий|Николай|Андрей|Михаил|Александр|Владимир|Γιώργος|Κώστας|Δημήτρης|Γιάννης"
+FEMALE_GIVEN = "Mary|Patricia|Jennifer|Linda|Elizabeth|Susan|Sarah|Anna|Emma|Julia|Ursula|Monika|Marie|Sophie|María|Carmen|Lucía|Анна|Мария|Елена|Наталья|Татьяна|Ирина|Екатерина|Светлана|Μαρία|Κατερίνα|Ιωάννα"
 NAMES = {
     ("latin", "m"): ["Adam", "Bruno", "Conrad", "Dario", "Edgar", "Felix", "Gustav", "Henry", "Igor", "Karl", "Leon", "Max"],
     ("latin", "f"): ["Alma", "Bella", "Clara", "Diana", "Edith", "Flora", "Greta", "Helen", "Irma", "Karla", "Lena", "Maja"],
@@ -54,19 +54,20 @@ SYLLABLES = {
 _NAME = r"\p{Lu}[\p{L}’']+(?:-\p{Lu}[\p{L}’']+)?"
 _TITLED = rf"(?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})\.? {{1,2}}{_NAME}(?: {_NAME}){{0,2}}"
 _GIVEN = rf"(?:{MALE_GIVEN}|{FEMALE_GIVEN}) {_NAME}"
-_KEY = r"(?i:password|passwd|pwd|passphrase|token|secret|api[_-]?key|access[_-]?key|private[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
+_KEY = r"(?i:password|passwd|pwd|passphrase|token|secret|api[_-]?key|access[_-]?key|private[_-]?key)(?:\d{1,3}|[_.-][\w.-]{0,40})?[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
+_HEX = "[0-9A-Fa-f]{1,4}"
 _GAP = r"[^\p{L}\p{N}_+\r\n]{0,5}"
 
 #: Kind and pattern, in the order in which they are tried at a place.
 PATTERNS: list[tuple[str, str]] = [
-    ("secret", rf"(?=[aApPsStT])\b{_KEY}[A-Za-z0-9+/_\-.]{{6,}}"),
+    ("secret", rf"(?=[aApPsStT]){_KEY}[A-Za-z0-9+/_\-.]{{6,}}"),
     ("email", r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}"),
-    ("person", rf"(?=[A-Z])\b(?:{_TITLED}|{_GIVEN})"),
+    ("person", rf"(?=[A-ZА-ЯЁΆ-Ωгдκδ])(?<![\p{{L}}\p{{N}}_])(?:{_TITLED}|{_GIVEN})"),
     ("iban", r"(?=[A-Z])\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"),
-    ("ipv6", r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])"),
+    ("ipv6", rf"(?<![\w:])(?:(?:{_HEX}:){{7}}{_HEX}|(?=[A-Fa-f:]*\d)(?:(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|(?:{_HEX}:){{1,7}}:|::(?:{_HEX}:){{0,6}}{_HEX}))(?![\w:])"),
     ("ip", r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
-    ("phone", rf"(?<![\w+])(?:\+\d{{1,3}}{_GAP}(?:\(\d{{1,4}}\){_GAP})?\d{{2,4}}(?:{_GAP}\d{{2,5}}){{1,4}}(?!\d)|\(\d{{3}}\) ?\d{{3}}[-. ]\d{{4}}(?!\d)|\d{{3}}[-.]\d{{3}}[-.]\d{{4}}(?!\d))"),
+    ("phone", rf"(?<![\w+])(?:\+\d{{1,3}}{_GAP}(?:\(\d{{1,4}}\){_GAP})?\d{{2,4}}(?:{_GAP}\d{{2,5}}){{1,4}}(?!\d)|(?:1[-. ]?)?\(\d{{3}}\) ?\d{{3}}[-. ]\d{{4}}(?!\d)|(?:1[-. ])?\d{{3}}[-. ]\d{{3}}[-. ]\d{{4}}(?!\d))"),
     ("card", r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"),
 ]
 ANY = "|".join(p for _, p in PATTERNS)
@@ -202,7 +203,7 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     drawn = F.transform(F.sequence(F.lit(0), extra), lambda i: _number(digest, i + 1000, 10).cast("string"))
     more = F.array_join(F.slice(drawn, F.lit(1), extra), "")
     full = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substr(digest, 4 * i + 1, F.lit(4))), ":")
-    code = F.when(norm.startswith("+"), F.lit(2)).otherwise(F.lit(0))
+    code = F.when(norm.startswith("+"), F.lit(2)).when(norm.rlike(r"\A1\d{10}\z"), F.lit(1)).otherwise(F.lit(0))
     return (
         F.when(kind == "email", F.concat(_redraw(local, digest), pad, F.lit("@"), host))
         .when(kind == "ip", _octets(digest))
@@ -230,8 +231,8 @@ def entities(surface: Column) -> Column:
     has_given = F.instr(name, " ") > 0
     given, surname = F.substring_index(name, " ", 1), F.substring_index(name, " ", -1)
     gender = (
-        F.when(title.rlike(rf"\A(?:{MALE_TITLES})\b"), "m")
-        .when(title.rlike(rf"\A(?:{FEMALE_TITLES})\b"), "f")
+        F.when(title.rlike(rf"\A(?:{MALE_TITLES})(?!\p{{L}})"), "m")
+        .when(title.rlike(rf"\A(?:{FEMALE_TITLES})(?!\p{{L}})"), "f")
         .when(given.rlike(rf"\A(?:{MALE_GIVEN})\z"), "m")
         .when(given.rlike(rf"\A(?:{FEMALE_GIVEN})\z"), "f")
         .otherwise("u")

@@ -89,3 +89,24 @@ def test_more_entities_than_forms(spark):
     assert n == len(texts) and len(set(new)) == len(phones) and not set(new) & set(phones)
     given = {re.fullmatch(r"Dr\. (\S+) \S+ spoke\.", out[i + len(phones)]).group(1) for i in range(len(names))}
     assert len(given) == len(names) and out[len(texts) - 1] != texts[-1]
+
+
+def test_further_forms_are_found(spark):
+    secrets = ["db_password=hunter2hunter2", "access_token: abc123abc123", "client_secret=zz99zz99", "AWS_SECRET_ACCESS_KEY=AKIA12345678", "dbPassword=qwerty12"]
+    hosts = ["2001:db8::1", "fe80::1a2b:3", "2001:db8:7::"]
+    phones = ["415 555 0199", "1-415-555-0199", "1 (415) 555-0198"]
+    people = ["г-н Смирнов", "Иван Кузнецов", "г-жа Орлова", "Μαρία Παππά", "κ. Παπαδόπουλος", "κυρία Ιωάννου"]
+    forms = secrets + hosts + phones + people
+    plain = ["std::vec", "face::bed", "at 12:30:45 sharp", "Иван пришёл.", "the secret of 1000 years"]
+    out, _ = _replaced(spark, list(enumerate([f"See {x} there" for x in forms] + plain)))
+    for i, x in enumerate(forms):
+        new = re.fullmatch(r"See (.*) there", out[i]).group(1)
+        assert new != x, x
+        if x in secrets:
+            key, value = re.fullmatch(r"(\S*?[=:] ?)(\S+)", x).groups()
+            assert new.startswith(key) and value not in new
+        elif x in phones:
+            assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", x) and new.startswith("1") >= x.startswith("1")
+        elif x in people:
+            assert x.split()[-1] not in new and not re.search("[A-Za-z]", new)
+    assert [out[len(forms) + i] for i in range(len(plain))] == plain
