@@ -231,10 +231,13 @@ def is_ignored(ua: Column) -> Column:
     return ua.rlike(regex(IGNORED_AGENTS)) | F.contains(ua, F.lit(IGNORED_ANYWHERE))
 
 
+def json_type(struct: T.StructType = DETAILS_TYPE) -> T.StructType:
+    """What pip's JSON is read as: the details and ``ci``, which is not stored, as the table has no such column."""
+    return T.StructType([*struct.fields, T.StructField("ci", T.VariantType())])
+
+
 def _pip_json(df: DataFrame, ua: str, on_unknown_key: str, struct: T.StructType = DETAILS_TYPE) -> DataFrame:
     """Add ``_json_text``, ``_json`` and ``_json_state`` for pip's JSON form."""
-    # "ci" is read but not stored: the table has no such column.
-    json_type = T.StructType([*struct.fields, T.StructField("ci", T.VariantType())])
     agent = F.col(ua)
     # An extract keeps its compiled pattern, a split compiles it for every row.
     version = F.when(F.startswith(agent, F.lit("pip/")), F.regexp_extract(agent, regex(r"^pip/(\S*)"), 1))
@@ -249,7 +252,7 @@ def _pip_json(df: DataFrame, ua: str, on_unknown_key: str, struct: T.StructType
         raise ValueError("on_unknown_key is 'ignore' or 'reject'")
     return (
         pin(df.withColumn("_version", version), "_json_text", text)
-        .withColumn("_json", parse_sealed_object(F.col("_json_text"), json_type))
+        .withColumn("_json", parse_sealed_object(F.col("_json_text"), json_type(struct)))
         .withColumn("_json_state", F.when(F.col("_json_text").isNotNull(), state))
         .drop("_version")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyline.functions.strict_json import is_strict_json, object_is_intact, parse_sealed_object
 from tallyline.functions.text import expand_tabs, regex, utf8_repair
 from tallyline.functions.versions import at_least_6, from_1_4_below_6
-from tallyline.operators.agents import _JSON_TYPE, IGNORED_AGENTS, RULES, truth
+from tallyline.operators.agents import IGNORED_AGENTS, RULES, json_type, truth
 
 
 def _column(spark, values, kind):
@@ -114,7 +114,7 @@ def test_strict_json(spark):
 
 
 def test_sealed_object(spark):
-    got = _apply(spark, JSON_TEXTS, "string", lambda v: object_is_intact(parse_sealed_object(v, _JSON_TYPE), v))
+    got = _apply(spark, JSON_TEXTS, "string", lambda v: object_is_intact(parse_sealed_object(v, json_type()), v))
     assert got == [_is_json(t) and isinstance(json.loads(t), dict) for t in JSON_TEXTS]
 
 
