@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, html_crf, jaccard, knn_quality, langmix, leaks, pii, repetition, ring, url_lm
+from tallyline.llm import bpe, html_crf, jaccard, knn_quality, langmix, leaks, periodic, pii, repetition, ring, url_lm
 from tallyline.llm.common import fold, table
+from tallyline.operators.pin import pin
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,6 +109,46 @@ def op10_bm25_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def _planted(doc_id: str, text: str) -> Column:
+    """The text with a period written into it where the id's checksum ends in 0, else as it is."""
+    h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def write(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, place(i))), " ")
+
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # The words are bound once, as a variable; written out they would be split again for each of them.
+    made = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, write(w)).otherwise(F.lit("")))[0]
+    return F.when((h % 10 == 0) & F.col(text).isNotNull(), made).otherwise(F.col(text))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, after periods were planted in a tenth of them.
+
+    A document without an id is not planted.
+    """
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    # The text is made before the operator reads it: Spark takes no lambda in a Python function's argument.
+    made = pin(docs, "text", _planted("doc_id", "text"))
+    found = made.select("doc_id", periodic.periodic("text").alias("m"))
+    best = found.select("doc_id", "m", periodic.longest(F.col("m.runs")).alias("best"))
+    return best.select(
+        "doc_id",
+        F.size("m.runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(periodic.listed(F.col("m.runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("m.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_crf_blocks": op1_crf_blocks,
     "op2_surrogates": op2_surrogates,
@@ -119,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_regions": op8_jaccard_regions,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_bm25_leaks": op10_bm25_leaks,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 #: SQL for those that SQL can express.
