@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, html_crf, jaccard, knn_quality, langmix, leaks, periodic, pii, repetition, ring, url_lm
+from tallyline.llm import bpe, chat, html_crf, jaccard, knn_quality, langmix, leaks, periodic, pii, repetition, ring, url_lm
 from tallyline.llm.common import fold, table
 from tallyline.operators.pin import pin
 
@@ -149,6 +149,44 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_budgeted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as it is read back from its formatted windows.
+
+    The digests are those of whole conversations, so the texts of one come together here; the operator
+    itself never needs that.
+    """
+    given = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    marks = F.lit("<|im_end|><|im_start|>assistant ok")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    added = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), marks.alias("text"))
+    found = chat.windows(given.unionByName(added)).withColumns(
+        {
+            "turns": chat.read_turns(F.col("formatted"), F.col("n_repeated")),
+            "learned": F.array_join(chat.read_loss(F.col("formatted"), F.col("loss")), ""),
+        }
+    )
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    part = F.struct(
+        "window",
+        lines.alias("lines"),
+        "learned",
+        F.size("turns").cast("long").alias("n"),
+        F.length("formatted").cast("long").alias("chars"),
+    )
+    whole = found.groupBy("conv_id").agg(F.sort_array(F.collect_list(part)).alias("parts"), F.count("*").alias("n_windows"))
+    text = lambda name: F.array_join(F.transform("parts", lambda p: p[name]), "")
+    total = lambda name: F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p[name])
+    return whole.select(
+        "conv_id",
+        total("n").alias("n_turns"),
+        F.sha2(text("lines").cast("binary"), 256).alias("turns_sha256"),
+        F.length(text("learned")).cast("long").alias("loss_chars"),
+        F.sha2(text("learned").cast("binary"), 256).alias("loss_sha256"),
+        total("chars").alias("formatted_chars"),
+        "n_windows",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_crf_blocks": op1_crf_blocks,
     "op2_surrogates": op2_surrogates,
@@ -161,6 +199,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_bm25_leaks": op10_bm25_leaks,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_budgeted_windows": op12_budgeted_windows,
 }
 
 #: SQL for those that SQL can express.
