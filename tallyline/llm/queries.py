@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, chat, html_crf, jaccard, knn_quality, langmix, leaks, periodic, pii, repetition, ring, url_lm
+from tallyline.llm import bpe, chat, html_crf, jaccard, knn_quality, langmix, leaks, periodic, phrases, pii, repetition, ring, url_lm
 from tallyline.llm.common import fold, table
 from tallyline.operators.pin import pin
 
@@ -187,6 +187,13 @@ def op12_budgeted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of every language."""
+    found = phrases.frequent(table(spark, sf_dir, "documents", "lang", "text"))
+    best = phrases.top(phrases.collocations(found))
+    return best.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_crf_blocks": op1_crf_blocks,
     "op2_surrogates": op2_surrogates,
@@ -200,7 +207,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bm25_leaks": op10_bm25_leaks,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_budgeted_windows": op12_budgeted_windows,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 #: SQL for those that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op13_phrase_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+sized AS (SELECT lang, w, k FROM words, range(1, 6) t(k) WHERE len(w) >= k),
+spots AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM sized),
+f AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f FROM spots GROUP BY ALL HAVING f >= 100
+), totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+parts AS (SELECT *, string_split(phrase, ' ') AS w FROM f),
+longer AS (
+  SELECT lang, array_to_string(w[1 : k - 1], ' ') AS phrase, f FROM parts WHERE k > 2
+  UNION SELECT lang, array_to_string(w[2 : k], ' '), f FROM parts WHERE k > 2
+), kept AS (SELECT * FROM parts WHERE k > 1 AND (lang, phrase, f) NOT IN (SELECT lang, phrase, f FROM longer)),
+cuts AS (
+  SELECT lang, phrase, f AS a, j, array_to_string(w[1 : j], ' ') AS head, array_to_string(w[j + 1 : k], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM kept)
+), scored AS (
+  SELECT c.lang, c.phrase, a, j, h.f AS l, t.f AS r, n,
+    CAST(1000 * CAST(a AS HUGEINT) * n // (CAST(h.f AS HUGEINT) * t.f) AS BIGINT) AS score
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = head JOIN f t ON t.lang = c.lang AND t.phrase = tail
+  JOIN totals s ON s.lang = c.lang
+), best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+  CAST(n AS BIGINT) AS n, score
+FROM best QUALIFY rank <= 2000""",
+}
