@@ -9,19 +9,24 @@ BATCH_SIZE = 500
 # Positions per bucket: bounds the rows one task ranks.
 _BUCKET_BITS = 16
 _GROUP_BITS = 12
+#: For positions in bytes: 16 MiB of lines are a bucket.
+BYTE_BUCKET_BITS = 24
 
 
-def number_batches(df: DataFrame, position: str = "line_id", batch_size: int = BATCH_SIZE) -> DataFrame:
+def number_batches(
+    df: DataFrame, position: str = "line_id", batch_size: int = BATCH_SIZE, bucket_bits: int = _BUCKET_BITS
+) -> DataFrame:
     """Add ``batch_no``: the running number of a row's delivery.
 
     ``position`` is a unique whole number that grows with arrival; gaps are fine.
+    Where it counts bytes, ``BYTE_BUCKET_BITS`` gives buckets of as many rows.
     Ranks come from three parts: the row's rank within its bucket of 65,536
     positions, the rows of earlier buckets within a group of 4,096 buckets, and
     the rows of earlier groups. Only the last part, one row per group, is summed
     in one place. The rows are shuffled once, by bucket, and since positions are
     unique no bucket can be large.
     """
-    bucket = F.shiftright(F.col(position), _BUCKET_BITS)
+    bucket = F.shiftright(F.col(position), bucket_bits)
     rows = df.withColumn("_bucket", bucket)
     counts = rows.groupBy("_bucket").agg(F.count("*").alias("_rows"))
     counts = counts.withColumn("_group", F.shiftright("_bucket", _GROUP_BITS))

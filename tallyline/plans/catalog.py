@@ -15,6 +15,7 @@ from tallyline.plans import downloads, evolve, table
 from tallyline.schema import DOWNLOADS, NULLABLE, REQUIRED
 from tallyline.session import configure, delete, store, work_folder
 from tallyline.sources.synth import TOKEN, lines_of
+from tallyline.sources.positions import ADDED, read_in_order
 from tallyline.sources.text import mark_truncated, read_lines, stream_lines
 from tallyline.streaming.ingest import ingest
 
@@ -97,7 +98,8 @@ def _agents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write_files(df: DataFrame, path: str) -> None:
     """One text file per chunk of lines, in order of the lines."""
-    chunk = F.floor(F.col("line_id") / CHUNK)
+    # Numbers of the same width, so that names are in the order of the lines.
+    chunk = F.format_string("%08d", F.floor(F.col("line_id") / CHUNK))
     (
         df.select(chunk.alias("chunk"), "line_id", F.col("raw").cast("string").alias("value"))
         .repartition("chunk")
@@ -169,6 +171,38 @@ def reject_truncated_tail(spark, sf_dir):
     return found
 
 
+def _in_splits(spark: SparkSession, size: str, read: Callable[[], DataFrame]) -> DataFrame:
+    """What a read gives where files are cut into splits of a size; it stores what it has read."""
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, size)
+    try:
+        return read()
+    finally:
+        spark.conf.set(setting, before)
+
+
+def file_positions(spark, sf_dir):
+    """The byte at which each line starts, and its place among all lines, from files cut in two ways."""
+    path = _cut_files(spark, sf_dir)
+    cut = [_in_splits(spark, size, lambda: read_in_order(spark, path, by="name")) for size in ("64k", "1m")]
+    one, two = (df.where(F.octet_length("raw") > 0).select(_line_id(), *ADDED) for df in cut)
+    two = two.select("line_id", F.struct(*ADDED).alias("other"))
+    same = F.struct(*ADDED) == F.col("other")
+    return one.join(two, "line_id").select("line_id", "offset", "truncated", same.alias("same"))
+
+
+def file_size_batches(spark, sf_dir):
+    """Deliveries numbered in the order in which lines stand in files, over many splits."""
+    path = work_folder(spark, "lines")
+    _write_files(_lines(spark, sf_dir), path)
+    read = _in_splits(spark, "64k", lambda: read_in_order(spark, path, by="name"))
+    kept = downloads.assemble(downloads.kept(downloads.parse_lines(read, TOKEN)))
+    rows = store(kept.select(_line_id(), "position", downloads.event_date().alias("event_date")), "kept")
+    numbered = batches.number_batches(rows, "position", bucket_bits=batches.BYTE_BUCKET_BITS)
+    return numbered.select("line_id", "batch_no", "event_date")
+
+
 def stream_truncated_tail(spark, sf_dir):
     path, root, checkpoint = _cut_files(spark, sf_dir), *(work_folder(spark, n) for n in ("table", "checkpoint"))
     ingest(stream_lines(spark, path), root, checkpoint, TOKEN, once=True, check_tail=True).awaitTermination()
@@ -598,6 +632,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reject_oversize_lines": reject_oversize_lines,
     "reject_truncated_tail": reject_truncated_tail,
     "stream_truncated_tail": stream_truncated_tail,
+    "file_positions": file_positions,
+    "file_size_batches": file_size_batches,
     "token_filter": token_filter,
     "utf8_repair": utf8_repair_text,
     "expand_tabs": expand_tab_stops,

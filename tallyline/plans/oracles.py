@@ -256,6 +256,13 @@ ORACLES: dict[str, str] = {
     "reject_oversize_lines": _query("SELECT line_id, line_bytes FROM lines WHERE d = 21"),
     "reject_truncated_tail": f"""SELECT max(event_id) AS line_id FROM events
       WHERE event_id // {CHUNK} % 2 = 1 GROUP BY event_id // {CHUNK}""",
+    # Files of odd chunks begin with a line feed, have a blank behind each line, and no line feed at the end.
+    "file_positions": _query(
+        f"""SELECT line_id, CAST(sum(line_bytes + 1 + odd) OVER chunk - line_bytes - 1 AS BIGINT) AS "offset",
+            odd = 1 AND line_id = max(line_id) OVER (PARTITION BY line_id // {CHUNK}) AS truncated, true AS same
+            FROM (SELECT *, line_id // {CHUNK} % 2 AS odd FROM lines) WINDOW chunk AS (PARTITION BY line_id // {CHUNK} ORDER BY line_id)"""
+    ),
+    "file_size_batches": _query(f", {_BATCHES} SELECT line_id, batch_no, event_date FROM ranked"),
     "token_filter": _query("SELECT line_id, line_bytes - 4 AS body_bytes FROM lines WHERE d <> 20"),
     "utf8_repair": _query(
         "SELECT line_id, line_bytes AS chars, CASE WHEN d = 19 THEN 1 ELSE 0 END AS replaced FROM lines"
