@@ -8,10 +8,10 @@ phrase from each place is put in; the counts of its beginnings are sums over sub
 spilled. Runs are merged by an exchange that adds up the counts; it deals by the whole phrase, because
 its first word alone, like "the", may hold a good part of all.
 
-Two passes count all phrases that matter. The first counts words and pairs. The second takes three
-to five words in a row, where all pairs in them are frequent: each part of a frequent phrase is as
-frequent at least. The frequent pairs reach the tasks as a Bloom filter of at most ``FILTER_BITS``
-bits. What it lets through wrongly is counted like all else and found to be rare, so counts are exact
+Three passes count all phrases that matter: words, pairs of frequent words, and three to five words
+in a row where all pairs in them are frequent, as each part of a frequent phrase is as frequent at
+least. Frequent words and pairs reach the tasks as Bloom filters of at most ``FILTER_BITS`` bits.
+What one lets through wrongly is counted like all else and found to be rare, so counts are exact
 whatever its size.
 
 Null languages count as ``und``, null texts as empty. Words and phrases of one language know nothing
@@ -22,6 +22,7 @@ Only two columns are read, so the names of others cannot clash. An empty table h
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +34,9 @@ from tallyline.llm.common import Stored, mix
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Entries of a container before it bursts, levels that branch, entries held before a spill.
-BURST, LEVELS, HELD = 4096, 3, 1_000_000
+BURST, LEVELS, HELD = 4096, 3, 400_000
 #: Words put in together, words numbered before all is spilled, rows of a spilled batch.
-TOGETHER, NUMBERED, ROWS = 500_000, 500_000, 50_000
+TOGETHER, NUMBERED, ROWS = 200_000, 500_000, 50_000
 FILTER_BITS = 1 << 28
 #: Rows of totals that are broadcast; there is one for each language.
 MAX_BROADCAST_ROWS = 100_000
@@ -136,8 +137,8 @@ class Numbers(dict):
         self.lang, self.names = lang, names
 
     def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self.names)
         self.names.append((self.lang, word))
-        number = self[word] = len(self.names) - 1
         return number
 
 
@@ -153,17 +154,21 @@ def words_of(text: str | None) -> Iterator[list[bytes]]:
 
 
 class Counter:
-    """Counts the phrases of ``low`` to ``high`` words of a task's texts; yields sorted runs."""
+    """Counts the phrases of ``low`` to ``high`` words of a task's texts; yields sorted runs.
 
-    def __init__(self, low: int, high: int, passes: PairFilter | None = None, held: int = HELD):
-        self.low, self.high, self.passes, self.held = low, high, passes, held
+    Words alone are counted by their number, without a trie. ``words`` and ``pairs`` are the filters.
+    """
+
+    def __init__(self, low: int, high: int, words: np.ndarray | None = None, pairs: np.ndarray | None = None, held: int = HELD):
+        self.low, self.high, self.words, self.pairs, self.held = low, high, words, pairs, held
         self.totals: dict[str, int] = {}
         self._reset()
 
     def _reset(self) -> None:
         self.names: list[tuple[str, bytes]] = [("", b".")]
         self.numbers: dict[str, Numbers] = {}
-        self.trie = HatTrie()
+        self.hashed, self.passed = np.empty(0, np.uint64), np.empty(0, bool)
+        self.trie, self.singles = HatTrie(), np.zeros(0, np.int64)
         self.waiting, self.count = [], 0
 
     def read(self, lang: str, text: str | None) -> Iterator[pa.RecordBatch]:
@@ -172,19 +177,32 @@ class Counter:
             numbers = self.numbers[lang] = Numbers(lang, self.names)
         for words in words_of(text):
             ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-            self.totals[lang] = self.totals.get(lang, 0) + int(np.count_nonzero(ids))
+            if self.low == 1:
+                self.totals[lang] = self.totals.get(lang, 0) + int(np.count_nonzero(ids))
             self.waiting += [ids, np.zeros(1, np.int64)] if words and words[-1] != b"." else [ids]
             self.count += len(words)
             if self.count > TOGETHER:
                 yield from self.put(self.held)
+                numbers = self.numbers.setdefault(lang, Numbers(lang, self.names))
 
     def put(self, limit: int) -> Iterator[pa.RecordBatch]:
         """Puts what waits into the trie, and spills down to half of a limit, or all."""
         if self.waiting:
-            self.trie.add(*self._paths(np.concatenate([*self.waiting, np.zeros(self.high, np.int64)])))
+            ids = np.concatenate([*self.waiting, np.zeros(self.high, np.int64)])
+            if self.high == 1:
+                found = np.bincount(ids[ids > 0], minlength=len(self.names))
+                found[: len(self.singles)] += self.singles
+                self.singles = found
+            else:
+                self.trie.add(*self._paths(ids))
         self.waiting, self.count = [], 0
         if len(self.names) > NUMBERED:
             limit = 0
+        if not limit and len(self.singles):
+            rows = [(*self.names[i], int(self.singles[i])) for i in np.flatnonzero(self.singles).tolist()]
+            rows.sort()
+            for i in range(0, len(rows), ROWS):
+                yield _batch([(lang, 1, word, count) for lang, word, count in rows[i : i + ROWS]])
         if self.trie.size >= limit:
             yield from self._spill(limit // 2)
         if not limit:
@@ -194,10 +212,15 @@ class Counter:
         """The longest phrase from each place, distinct, with counts."""
         n = len(ids) - self.high
         word = ids > 0
-        if self.passes is None:
-            joined = word[:-1] & word[1:]
-        else:
-            joined = self.passes.holds(ids, self.names)
+        if self.words is not None:
+            new = _hashes(self.names[len(self.hashed) :])
+            self.hashed = np.concatenate([self.hashed, new])
+            self.passed = np.concatenate([self.passed, _holds(self.words, new, np.zeros(len(new), np.uint64))])
+            word &= self.passed[ids]
+        joined = word[:-1] & word[1:]
+        if self.pairs is not None:
+            at = np.flatnonzero(joined)
+            joined[at] = _holds(self.pairs, self.hashed[ids[at]], self.hashed[ids[at + 1]])
         length = word[:n].astype(np.int64)
         on = word[:n].copy()
         for step in range(self.high - 1):
@@ -208,27 +231,32 @@ class Counter:
             at = np.flatnonzero(length == size)
             if not len(at):
                 continue
-            rows = np.ascontiguousarray(ids[at[:, None] + np.arange(size)].astype(">u4"))
-            kept, number = np.unique(rows.view(f"V{4 * size}").ravel(), return_counts=True)
-            data, width = kept.tobytes(), 4 * size
+            rows, width = ids[at[:, None] + np.arange(size)], 4 * size
+            if size == 2:
+                both, number = np.unique(rows[:, 0] << 32 | rows[:, 1], return_counts=True)
+                data = both.astype(">u8").tobytes()
+            else:
+                kept, number = np.unique(np.ascontiguousarray(rows.astype(">u4")).view(f"V{width}").ravel(), return_counts=True)
+                data = kept.tobytes()
             paths += [data[i : i + width] for i in range(0, len(data), width)]
             counts += number.tolist()
         return paths, counts
 
     def _spill(self, left: int) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[str, int, bytes, int]] = []
-        names, low = self.names, self.low
+        names, low, high = self.names, self.low, self.high
         for step, entries in self.trie.take(left):
-            sums: dict[bytes, int] = {}
+            if low < high:
+                sums: dict[bytes, int] = {}
+                for path, count in entries:
+                    for end in range(4 * low, len(path) + 1, 4):
+                        sums[path[:end]] = sums.get(path[:end], 0) + count
+                entries = list(sums.items())
+            lang, first = names[int.from_bytes(step)]
+            run = []
             for path, count in entries:
-                for end in range(4 * low, len(path) + 1, 4):
-                    prefix = path[:end]
-                    sums[prefix] = sums.get(prefix, 0) + count
-            lang = names[int.from_bytes(step)][0]
-            run = [
-                (b" ".join([names[int.from_bytes(path[i : i + 4])][1] for i in range(0, len(path), 4)]), len(path) // 4, count)
-                for path, count in sums.items()
-            ]
+                words = [first, *[names[i][1] for i in struct.unpack(f">{len(path) // 4 - 1}I", path[4:])]]
+                run.append((b" ".join(words), len(words), count))
             run.sort()
             rows += [(lang, k, phrase, count) for phrase, k, count in run]
             if len(rows) >= ROWS:
@@ -240,7 +268,7 @@ class Counter:
     def finish(self) -> Iterator[pa.RecordBatch]:
         """What is left, and the number of all words of each language as the phrase of no words."""
         yield from self.put(0)
-        if self.totals and self.low == 1:
+        if self.totals:
             yield _batch([(lang, 0, b"", total) for lang, total in self.totals.items()])
 
 
@@ -256,64 +284,52 @@ def _hashes(names: list[tuple[str, bytes]]) -> np.ndarray:
     return np.array([xxh3_64_intdigest(lang.encode() + b"\n" + word) for lang, word in names], np.uint64)
 
 
+def _hashed(names: list[tuple[str, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases of one or two words as two hashes."""
+    parts = [(lang, *word.split(b" ")) for lang, word in names]
+    first = _hashes([(p[0], p[1]) for p in parts])
+    return first, _hashes([(p[0], p[2]) for p in parts]) if len(parts[0]) > 2 else np.zeros(len(parts), np.uint64)
+
+
 def _bits(first: np.ndarray, second: np.ndarray, bits: int) -> list[np.ndarray]:
-    """The three bits of each pair of hashed words."""
+    """The three bits of each pair of hashes."""
     h = mix(first * np.uint64(3) + mix(second))
-    step = (mix(h) | np.uint64(1))
+    step = mix(h) | np.uint64(1)
     return [((h + np.uint64(i) * step) & np.uint64(bits - 1)).astype(np.int64) for i in range(3)]
 
 
-class PairFilter:
-    """A Bloom filter of pairs of words, as 64-bit words."""
-
-    def __init__(self, words: np.ndarray):
-        self.words = words
-        self.hashed = np.empty(0, np.uint64)
-        self.of: list | None = None
+def _holds(words: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Which phrases a Bloom filter, as 64-bit words, may hold."""
+    out = np.ones(len(first), bool)
+    for bit in _bits(first, second, 64 * len(words)):
+        out &= (words[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return out
 
-    def holds(self, ids: np.ndarray, names: list[tuple[str, bytes]]) -> np.ndarray:
-        """For each place but the last, whether the pair there may be one."""
-        if self.of is not names:
-            self.of, self.hashed = names, np.empty(0, np.uint64)
-        if len(self.hashed) < len(names):
-            self.hashed = np.concatenate([self.hashed, _hashes(names[len(self.hashed) :])])
-        out = (ids[:-1] > 0) & (ids[1:] > 0)
-        at = np.flatnonzero(out)
-        good = np.ones(len(at), bool)
-        for bit in _bits(self.hashed[ids[at]], self.hashed[ids[at + 1]], 64 * len(self.words)):
-            good &= (self.words[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
-        out[at] = good
-        return out
 
-
-def pair_filter(pairs: DataFrame, count: int) -> np.ndarray:
-    """The filter for rows of ``lang, phrase``; at most ``FILTER_BITS`` bits reach the driver."""
-    bits = min(FILTER_BITS, 1 << max(10, (16 * count).bit_length()))
+def phrase_filter(phrases: DataFrame) -> np.ndarray:
+    """The filter for rows of ``lang, phrase``, all of one word or all of two; at most ``FILTER_BITS`` bits reach the driver."""
+    bits = min(FILTER_BITS, 1 << max(10, (16 * phrases.count()).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, phrases = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            if not phrases:
-                continue
-            split = [p.encode().split(b" ") for p in phrases]
-            first, second = (_hashes([(lang, ws[i]) for lang, ws in zip(langs, split)]) for i in (0, 1))
-            at = np.concatenate(_bits(first, second, bits))
-            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(at & 63)], names=["slot", "bit"])
+            names = [(lang, p.encode()) for lang, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            if names:
+                at = np.concatenate(_bits(*_hashed(names), bits))
+                yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(at & 63)], names=["slot", "bit"])
 
-    set_bits = pairs.select("lang", "phrase").mapInArrow(run, "slot bigint, bit bigint")
+    set_bits = phrases.select("lang", "phrase").mapInArrow(run, "slot bigint, bit bigint")
     slots = set_bits.groupBy("slot").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit AS int))")).alias("word")).toArrow()
     words = np.zeros(bits // 64, np.int64)
     words[slots.column("slot").to_numpy()] = slots.column("word").to_numpy()
     return words.view(np.uint64)
 
 
-def _counted(docs: DataFrame, low: int, high: int, words: np.ndarray | None = None) -> DataFrame:
+def _counted(docs: DataFrame, low: int, high: int, *filters: np.ndarray) -> DataFrame:
     """``lang, k, phrase, f``: exact counts of phrases of ``low`` to ``high`` words."""
-    spark = docs.sparkSession
-    shared = None if words is None else spark.sparkContext.broadcast(words)
+    shared = [docs.sparkSession.sparkContext.broadcast(words) for words in filters]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(low, high, None if shared is None else PairFilter(shared.value))
+        counter = Counter(low, high, *[words.value for words in shared])
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
                 yield from counter.read(lang.as_py(), text.as_py())
@@ -327,13 +343,14 @@ def frequent(docs: DataFrame, lang: str = "lang", text: str = "text", least: int
     store = Stored(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     often = (F.col("f") >= least) | (F.col("k") == 0)
-    short = store.put(_counted(docs, 1, 2).where(often), "short")
-    pairs = short.where(F.col("k") == 2)
-    count = pairs.count()
-    if longest < 3 or not count:
-        return short
-    longer = _counted(docs, 3, longest, pair_filter(pairs, count)).where(often)
-    return store.put(short.unionByName(longer), "phrases")
+    words = store.put(_counted(docs, 1, 1).where(often), "words")
+    of_words = phrase_filter(words.where("k = 1"))
+    pairs = store.put(_counted(docs, 2, 2, of_words).where(often), "pairs")
+    found = words.unionByName(pairs)
+    if longest < 3:
+        return found
+    longer = store.put(_counted(docs, 3, longest, of_words, phrase_filter(pairs)).where(often), "longer")
+    return found.unionByName(longer)
 
 
 def _words():
