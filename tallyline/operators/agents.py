@@ -33,12 +33,20 @@ Group = Callable[[str], Column]
 Value = str | Callable[[Group], Column]
 
 
+def group_numbers(pattern: str, ignore_case: bool = False) -> dict[str, int]:
+    """A pattern's groups by name; those without one are called ``1``, ``2`` and so on."""
+    compiled = re.compile(pattern, re.IGNORECASE if ignore_case else 0)
+    named = dict(compiled.groupindex)
+    others = [n for n in range(1, compiled.groups + 1) if n not in named.values()]
+    return named | {str(place): n for place, n in enumerate(others, start=1)}
+
+
 @dataclass(frozen=True)
 class Rule:
     """Patterns (searched for, not matched in full) and what they yield.
 
     ``template`` maps paths of the details record to a literal, to ``{group}``
-    for a named group, or to a function of the groups. ``starts`` and ``holds``
+    for a named group (``{1}`` for the first without a name), or to a function of the groups. ``starts`` and ``holds``
     name literals of which an accepted text must start with, or hold, one.
     ``guard`` is one more condition on the groups.
     """
@@ -57,7 +65,7 @@ class Rule:
         return functools.reduce(operator.or_, tests) if tests else None
 
     def _groups(self, ua: Column, pattern: str) -> Group:
-        order = re.compile(pattern, re.IGNORECASE if self.ignore_case else 0).groupindex
+        order = group_numbers(pattern, self.ignore_case)
         return lambda name: F.regexp_extract(ua, regex(pattern, self.ignore_case), order[name])
 
     def _matches(self, ua: Column, pattern: str) -> Column:

@@ -52,7 +52,11 @@ def audit(df: DataFrame, fields: list[dict] = DOWNLOADS) -> DataFrame:
     return one_row.select(F.inline("a"))
 
 
+def json_row(columns: list[str]) -> Column:
+    """Columns as a JSON document, the time as epoch seconds with fraction."""
+    return F.to_json(F.struct(*[F.col(c).cast("double").alias(c) if c == "timestamp" else F.col(c) for c in columns]))
+
+
 def epoch_rows(df: DataFrame) -> DataFrame:
     """Rows as JSON documents, times as epoch seconds with fraction."""
-    row = df.withColumn("timestamp", F.col("timestamp").cast("double"))
-    return row.select("timestamp", F.to_json(F.struct("*")).alias("json"))
+    return df.select(F.col("timestamp").cast("double").alias("timestamp"), json_row(df.columns).alias("json"))

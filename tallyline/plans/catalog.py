@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.functions.text import expand_tabs, utf8_repair
 from tallyline.functions.versions import at_least_6, from_1_4_below_6
-from tallyline.operators import agents, batches, conform, events, lines
-from tallyline.plans import downloads, evolve, table
+from tallyline.operators import agent_table, agents, batches, conform, events, lines, rule_table
+from tallyline.plans import downloads, evolve, named, table
 from tallyline.schema import DOWNLOADS, NULLABLE, REQUIRED
 from tallyline.session import configure, delete, store, work_folder
 from tallyline.sources.synth import TOKEN, lines_of
+from tallyline.sources import deliveries
 from tallyline.sources.positions import ADDED, read_in_order
 from tallyline.sources.text import mark_truncated, read_lines, stream_lines
+from tallyline.streaming import counters
+from tallyline.streaming.deliver import deliver
 from tallyline.streaming.ingest import ingest
 
 CHUNK = 2500  # lines per file where a query needs files
@@ -426,6 +432,85 @@ def ua_rule_errors(spark, sf_dir):
     return agents.rule_errors(_agents(spark, sf_dir), rules=CUSTOM_RULES)
 
 
+def ua_agent_table(spark, sf_dir):
+    """Agents that two batches bring, each with the batch that brought it first; one of the batches comes twice."""
+    known = agent_table.AgentTable(configure(spark), work_folder(spark, "agents"))
+    for batch in (0, 1, 1):
+        known.learn(agents.distinct_agents(_half(spark, sf_dir, batch)), batch)
+    return known.known().select("ua", "ua_status", "ua_rule", "batch_id")
+
+
+def _half(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
+    """The lines of one of two batches, parsed, with the agent left open."""
+    lines = _lines(spark, sf_dir).where(F.col("line_id") % 3 < 2 if batch == 0 else F.col("line_id") % 3 == 2)
+    return downloads.parse_lines(lines, TOKEN, classify=agents.leave_open)
+
+
+def ua_kept_dimension(spark, sf_dir):
+    """Rows of two batches, each parsed once, with agents from a table that is kept between them."""
+    known = agent_table.AgentTable(configure(spark), work_folder(spark, "agents"))
+    done = [known.classify(_half(spark, sf_dir, batch).where(F.col("ua").isNotNull()), batch) for batch in (0, 1)]
+    rows = done[0].unionByName(done[1])
+    return rows.select("line_id", "ua_status", "ua_rule", F.col("details.installer.version").alias("installer_version"))
+
+
+#: Rules as rows: position, name, patterns, template, starts, holds, ignore_case.
+RULE_ROWS = [
+    (30, "urllib3", [r"^Python-urllib/(\d)\.(\d\d)$"], {"installer.name": "urllib", "python": "{1}.{2}"}, ["Python-urllib/"], None, None),
+    (10, "wget", [r"^wget/(\d+)\.(?P<minor>\d+)"], {"installer.name": "Wget", "installer.version": "{1}-{minor}"}, None, None, True),
+    (20, "both", [r"^python-requests/(\S+) (pex)/(\S+)$"], {"installer.name": "{2}", "installer.version": "{3} on {1}"}, None, ["pex/"], False),
+    (15, "broken", ["(", "x"], {}, None, None, None),
+    (16, "astray", [r"^Firefox/(?P<v>\d+)"], {"installer.release": "{v}"}, None, None, None),
+    (17, "lost", [r"^Firefox/(?P<v>\d+)", "^Opera"], {"installer.version": "{v}"}, None, None, None),
+]
+
+
+def ua_rules_from_table(spark, sf_dir):
+    """Agents by rules that a table holds, tried before the others; three of its rows are refused."""
+    path = work_folder(spark, "rules")
+    spark.createDataFrame(RULE_ROWS, rule_table.RULE_ROW).write.parquet(path)
+    rules, faults = rule_table.rules_from_table(spark.read.parquet(path))
+    done = agents.classify(_agents(spark, sf_dir), rules=[*rules, *agents.RULES])
+    mine = done.where(F.col("ua_rule").isin([rule.name for rule in rules]))
+    return mine.select("ua", "lines", "ua_rule", *_details()[:3], F.lit(len(faults)).alias("refused"))
+
+
+def _read_groups(word: pd.Series, major: pd.Series, minor: pd.Series) -> pd.Series:
+    """Details from a group without a name and two with one."""
+    rows = zip(word, major, minor)
+    made = [{"installer": {"name": w.lower(), "version": f"{a}.{b or 0}"}} if w != "Opera" else None for w, a, b in rows]
+    return pd.Series(made, index=word.index, dtype=object)
+
+
+def ua_handlers(spark, sf_dir):
+    """Agents by a handler over groups; those that other rules take are not its own."""
+    patterns = [r"^(Firefox)/(?P<major>\d+)(?:\.(?P<minor>\d+))?$", r"^(An) (?P<major>agent) (?P<minor>nobody)"]
+    rules = [*agents.RULES, rule_table.handler_rule("browsers", patterns, _read_groups)]
+    done = agents.classify(_agents(spark, sf_dir), rules=rules).where("ua_rule = 'browsers'")
+    return done.select("ua", "lines", *_details()[:2])
+
+
+def _counted(spark: SparkSession, sf_dir: str) -> str:
+    """Counts of a stream that is stopped, started again with more files, and runs a batch twice."""
+    path, out, checkpoint = (work_folder(spark, name) for name in ("lines", "counts", "checkpoint"))
+    for part in (0, 1):
+        _write_files(_lines(spark, sf_dir).where(F.floor(F.col("line_id") / CHUNK) % 2 == part), f"{path}/part={part}")
+        source = stream_lines(spark, f"{path}/*/*", max_files_per_trigger=1)
+        counters.count_agents(source, out, checkpoint, TOKEN, once=True).awaitTermination()
+    counters.compact_counts(spark, out)
+    return out
+
+
+def running_rule_hits(spark, sf_dir):
+    counts = counters.running_counts(spark, _counted(spark, sf_dir)).where(F.col("what") == counters.HIT)
+    return counts.select(F.col("key").alias("ua_rule"), "lines")
+
+
+def running_unknown_agents(spark, sf_dir):
+    counts = counters.running_counts(spark, _counted(spark, sf_dir)).where(F.col("what") == counters.UNKNOWN)
+    return counts.select(F.col("key").alias("ua"), "lines")
+
+
 # Batches, routing, sink
 
 
@@ -455,10 +540,10 @@ def size_batch_deliveries(spark, sf_dir):
     return batches.deliveries(_batched(spark, sf_dir))
 
 
-def _streamed(spark: SparkSession, sf_dir: str, which: str = "true") -> str:
+def _streamed(spark: SparkSession, sf_dir: str) -> str:
     """The table a stream has written, one file of lines per batch."""
     path, root, checkpoint = (work_folder(spark, name) for name in ("lines", "table", "checkpoint"))
-    _write_files(_lines(spark, sf_dir).where(which), path)
+    _write_files(_lines(spark, sf_dir), path)
     ingest(stream_lines(spark, path, max_files_per_trigger=1), root, checkpoint, TOKEN, once=True).awaitTermination()
     return root
 
@@ -470,8 +555,96 @@ def timed_flush(spark, sf_dir):
 
 def delivery_accounting(spark, sf_dir):
     """Rows and deliveries per day, and what of the kept lines is not in the table."""
-    root = _streamed(spark, sf_dir, "day(ts) > 10")
-    return table.delivery_report(spark, root, daily_route(spark, sf_dir))
+    return table.delivery_report(spark, _streamed(spark, sf_dir), daily_route(spark, sf_dir))
+
+
+def delivery_metrics(spark, sf_dir):
+    """What each batch of a stream took in, kept, refused and stored, as counted while it was written."""
+    counts = table.batch_counts(spark, _streamed(spark, sf_dir))
+    return counts.drop("writer", "batch_id")
+
+
+def _due_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept rows with the number of their delivery, ready for the sink."""
+    kept = _kept(spark, sf_dir).withColumn("event_date", downloads.event_date())
+    place = F.concat(F.lit("line/"), F.col("line_id").cast("string"))
+    row = conform.json_row([field["name"] for field in DOWNLOADS])
+    rows = kept.select("line_id", "event_date", F.sha2(place, 256).alias("row_id"), row.alias("json"))
+    return batches.number_batches(store(rows, "kept")).withColumn("lane", F.lit(0).cast("long"))
+
+
+def delivery_sink(spark, sf_dir):
+    """Deliveries of 500 as files, written twice; rows, ids and deliveries of each day as they were committed."""
+    path, due = work_folder(spark, "deliveries"), store(_due_deliveries(spark, sf_dir), "due")
+    for _ in range(2):
+        deliveries.write_deliveries(due, path, "catalog", batch=7)
+    listed = deliveries.read_deliveries(spark, path).groupBy("event_date").agg(
+        F.count("*").alias("deliveries"), F.sum("rows").alias("listed"), F.max("rows").alias("largest")
+    )
+    day = F.from_unixtime(F.get_json_object("json", "$.timestamp").cast("double").cast("bigint"), "yyyyMMdd")
+    rows = deliveries.read_delivered(spark, path).groupBy("event_date").agg(
+        F.count("*").alias("rows"), F.countDistinct("row_id").alias("ids"), F.count_if(day == F.col("event_date")).alias("of_that_day")
+    )
+    return listed.join(rows, "event_date")
+
+
+LANES = 3
+
+
+def _await(query: StreamingQuery, done: Callable[[], bool], seconds: int = 240) -> None:
+    """Wait for a stream that never runs dry, as its timers keep it going."""
+    limit = time.monotonic() + seconds
+    while not done():
+        if query.exception() is not None:
+            raise query.exception()
+        if time.monotonic() > limit or not query.isActive:
+            raise TimeoutError(f"the stream got no further: {query.lastProgress}")
+        time.sleep(0.3)
+
+
+def _delivered(spark: SparkSession, sf_dir: str, flush_seconds: float, ends: Callable[[str], bool]) -> str:
+    """The deliveries of a stream over two sets of files that is stopped and started again in between."""
+    path, out, checkpoint = (work_folder(spark, name) for name in ("lines", "deliveries", "checkpoint"))
+    lane = F.col("procid").cast("bigint") % LANES
+    for part in (0, 1):
+        mine = _lines(spark, sf_dir).where(F.floor(F.col("line_id") / CHUNK) % 2 == part)
+        _write_files(mine, f"{path}/part={part}")
+        due, read = mine.count(), {}
+        source = stream_lines(spark, f"{path}/*/*", max_files_per_trigger=1)
+        query = deliver(source, out, checkpoint, TOKEN, lane=lane, flush_seconds=flush_seconds)
+
+        def all_read() -> bool:
+            read.update({p.batchId: p.numInputRows for p in query.recentProgress})
+            return sum(read.values()) >= due
+
+        try:
+            if due:
+                _await(query, all_read)
+            if part:
+                _await(query, lambda: ends(out))
+        finally:
+            query.stop()
+    return out
+
+
+def stream_deliveries(spark, sf_dir):
+    """Full deliveries of every lane, numbered on after a restart; what does not fill one waits in the state."""
+    out = _delivered(spark, sf_dir, 86_400, lambda _: True)
+    listed = deliveries.read_deliveries(spark, out)
+    return listed.groupBy("lane", "batch_no").agg(F.sum("rows").alias("rows"))
+
+
+def stream_deliveries_timed(spark, sf_dir):
+    """With a short time limit every row is delivered, once, in deliveries numbered without a gap."""
+    due = _kept(spark, sf_dir).count()
+    sent = lambda path: deliveries.read_deliveries(spark, path).agg(F.sum("rows")).first()[0] == due
+    out = _delivered(spark, sf_dir, 2, sent)
+    rows = deliveries.read_delivered(spark, out).groupBy("lane")
+    done = rows.agg(F.count("*").alias("rows"), F.countDistinct("row_id").alias("ids"), F.countDistinct("batch_no").alias("n"))
+    listed = deliveries.read_deliveries(spark, out).groupBy("lane", "batch_no").agg(F.sum("rows").alias("size"))
+    sizes = listed.groupBy("lane").agg((F.max("batch_no") + 1).alias("next"), (F.max("size") <= 500).alias("at_most_500"))
+    joined = done.join(sizes, "lane")
+    return joined.select("lane", "rows", "ids", (F.col("n") == F.col("next")).alias("no_gap"), "at_most_500")
 
 
 def _rows_and_ids(spark: SparkSession, root: str) -> DataFrame:
@@ -567,6 +740,22 @@ def target_table(spark, sf_dir):
     return conform.audit(table.read_downloads(spark, _stored(spark, sf_dir)))
 
 
+def table_by_name(spark, sf_dir):
+    """Days of the table as SQL sees them by its name, before and after it gets two columns."""
+    root, name = work_folder(spark, "table"), f"downloads_{uuid.uuid4().hex[:12]}"
+    rows = store(_kept(spark, sf_dir), "kept")
+    early = F.dayofmonth("timestamp") <= 15
+    named.register(spark, name, root, DOWNLOADS[:-2])
+    table.write_downloads(rows.where(early), root, "early", 0)
+    named.register(spark, name, root, DOWNLOADS)
+    table.write_downloads(rows.where(~early), root, "late", 0)
+    named.refresh(spark, name)
+    return spark.sql(
+        f"""SELECT event_date, writer, count(*) AS downloads, count(tls_cipher) AS with_tls, count(details.installer.name) AS named
+            FROM {name} WHERE event_date BETWEEN '20240110' AND '20240120' GROUP BY event_date, writer"""
+    )
+
+
 def _stored_variants() -> list[list[dict]]:
     """What a day may have stored, each compared with the current schema later on."""
     *others, cipher = DOWNLOADS
@@ -606,10 +795,21 @@ def schema_delta_check(spark, sf_dir):
     for number, fields in enumerate(variants):
         part = rows.where(F.col("day") % len(variants) == number)
         table.write_downloads(part, root, "catalog", number, fields)
-    delta = evolve.schema_delta(evolve.stored_fields(spark, root), DOWNLOADS)
-    part = F.concat_ws("/", "writer", F.col("batch_id").cast("string")).alias("part")
-    days = table.deliveries(spark, root).select(part, "event_date").distinct()
-    return delta.join(days, "part").select("event_date", "path", "rule")
+    return evolve.drift_report(spark, root).select("event_date", "path", "rule")
+
+
+def drift_after_compaction(spark, sf_dir):
+    """Four batches in a schema that does not fit; days of one are rewritten, others of three compacted."""
+    root = work_folder(spark, "table")
+    rows = store(_kept(spark, sf_dir), "kept")
+    loose = [field | {"mode": NULLABLE} if field["name"] == "url" else field for field in DOWNLOADS]
+    for number in range(4):
+        table.write_downloads(rows.where(F.col("line_id") % 4 == number), root, "old", number, loose)
+    table.declare_fields(spark, root, DOWNLOADS)
+    days = [f"202401{day:02}" for day in range(1, 32)]
+    evolve.rewrite_days(spark, root, days[:10], "old", 0)
+    table.compact_days(spark, root, days[10:20], "old")
+    return evolve.drift_report(spark, root)
 
 
 def table_evolve(spark, sf_dir):
@@ -666,6 +866,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ua_rule_hits": ua_rule_hits,
     "ua_custom_rules": ua_custom_rules,
     "ua_rule_errors": ua_rule_errors,
+    "ua_agent_table": ua_agent_table,
+    "ua_kept_dimension": ua_kept_dimension,
+    "ua_rules_from_table": ua_rules_from_table,
+    "ua_handlers": ua_handlers,
+    "running_rule_hits": running_rule_hits,
+    "running_unknown_agents": running_unknown_agents,
     "event_date_key": event_date_key,
     "daily_route": daily_route,
     "downloads_per_day": downloads_per_day,
@@ -682,7 +888,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_partition_sink": daily_partition_sink,
     "reject_table": reject_table,
     "delivery_accounting": delivery_accounting,
+    "delivery_metrics": delivery_metrics,
+    "delivery_sink": delivery_sink,
+    "stream_deliveries": stream_deliveries,
+    "stream_deliveries_timed": stream_deliveries_timed,
     "target_table": target_table,
+    "table_by_name": table_by_name,
     "schema_delta_check": schema_delta_check,
+    "drift_after_compaction": drift_after_compaction,
     "table_evolve": table_evolve,
 }

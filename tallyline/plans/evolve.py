@@ -15,8 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.plans.table import current_fields, declare_fields, read_downloads
-from tallyline.schema import NULLABLE, REPEATED, REQUIRED, field_rows
+from tallyline.plans.table import note, current_fields, declare_fields, read_downloads, stored_notes
+from tallyline.schema import DOWNLOADS, NULLABLE, REPEATED, REQUIRED, field_rows
 from tallyline.session import store
 
 _FIELD_ROW = "position array<int>, parent string, name string, type string, mode string"
@@ -36,14 +36,23 @@ def declared(spark: SparkSession, fields: list[dict], part: str = "table") -> Da
 
 
 def stored_fields(spark: SparkSession, root: str) -> DataFrame:
-    """The fields of every stored schema as rows, one ``part`` per writer and batch.
+    """The fields of every stored schema as rows, one ``part`` (writer, batch, day) per folder of rows.
 
-    Writers record the schema of each batch beside the data; no data file is opened.
+    Writers record the schema of each folder beside the data, and compacting and rewriting keep
+    the records up to date; no data file is opened.
     """
-    schema = "value string, writer string, batch_id bigint"
-    notes = spark.read.schema(schema).text(f"{root}/written")
-    part = F.concat_ws("/", "writer", F.col("batch_id").cast("string")).alias("part")
-    return notes.select(part, "value").mapInPandas(_flatten, f"part string, {_FIELD_ROW}")
+    part = F.concat_ws("/", "writer", F.col("batch_id").cast("string"), "event_date").alias("part")
+    notes = stored_notes(spark, root).select(part, F.col("fields").alias("value"))
+    return notes.mapInPandas(_flatten, f"part string, {_FIELD_ROW}")
+
+
+def drift_report(spark: SparkSession, root: str) -> DataFrame:
+    """``event_date, writer, batch_id, path, rule``: where stored rows do not fit the table's schema."""
+    delta = schema_delta(stored_fields(spark, root), current_fields(spark, root) or DOWNLOADS)
+    at = F.split("part", "/")
+    return delta.select(
+        F.get(at, F.lit(2)).alias("event_date"), F.get(at, F.lit(0)).alias("writer"), F.get(at, F.lit(1)).cast("bigint").alias("batch_id"), "path", "rule"
+    )
 
 
 def _flatten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,7 +133,7 @@ def evolve(spark: SparkSession, root: str, desired: list[dict]) -> None:
 
 
 def rewrite_days(spark: SparkSession, root: str, days: list[str], writer: str, batch_id: int) -> None:
-    """Write stored days of one batch out again in the current schema.
+    """Write stored days of one batch out again in the current schema, and record it.
 
     For files that other readers must find in the current form. The days are
     replaced folder by folder; run it while that batch is not written.
@@ -134,3 +143,7 @@ def rewrite_days(spark: SparkSession, root: str, days: list[str], writer: str, b
     copy.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "event_date", "writer", "batch_id"
     ).parquet(f"{root}/downloads")
+    notes = stored_notes(spark, root).where((F.col("writer") == writer) & (F.col("batch_id") == batch_id)).collect()
+    fields = current_fields(spark, root) or DOWNLOADS
+    known = {row.event_date: json.loads(row.fields) for row in notes}
+    note(spark, root, writer, batch_id, {day: fields if day in days else old for day, old in known.items()})

@@ -7,7 +7,8 @@ the same arithmetic states what each of them has to become.
 from __future__ import annotations
 
 from tallyline.operators.lines import FACILITIES, SEVERITIES
-from tallyline.plans.catalog import CHUNK, DETAILS
+from tallyline.plans.catalog import CHUNK, DETAILS, LANES
+from tallyline.plans.downloads import REASONS
 from tallyline.sources.synth import AGENTS
 
 _TOOL = "parsed"
@@ -353,6 +354,31 @@ ORACLES: dict[str, str] = {
         """SELECT ua, count(*) AS lines, 'picky: ValueError: ' || ua AS ua_error
            FROM lines WHERE good_line AND agent_no = 33 GROUP BY ALL"""
     ),
+    "ua_agent_table": _query(
+        """SELECT ua, ua_status, ua_rule, CASE WHEN bool_or(line_id % 3 < 2) THEN 0 ELSE 1 END::BIGINT AS batch_id
+           FROM lines WHERE good_line GROUP BY ALL"""
+    ),
+    "ua_kept_dimension": _query(
+        "SELECT line_id, ua_status, ua_rule, installer_version FROM lines WHERE good_line"
+    ),
+    "ua_rules_from_table": _query(
+        """SELECT ua, count(*) AS lines, CASE agent_no WHEN 32 THEN 'urllib3' WHEN 34 THEN 'wget' ELSE 'both' END AS ua_rule,
+           CASE agent_no WHEN 32 THEN 'urllib' WHEN 34 THEN 'Wget' ELSE 'pex' END AS installer_name,
+           CASE agent_no WHEN 34 THEN '1-19' WHEN 37 THEN '1.4.5 on 2.19.1' END AS installer_version,
+           CASE WHEN agent_no = 32 THEN '3.10' END AS python, CAST(3 AS INTEGER) AS refused
+           FROM lines WHERE good_line AND agent_no IN (32, 34, 37) GROUP BY ALL"""
+    ),
+    "ua_handlers": _query(
+        """SELECT ua, count(*) AS lines, CASE WHEN agent_no = 33 THEN 'firefox' ELSE 'an' END AS installer_name,
+           CASE WHEN agent_no = 33 THEN '60.0' ELSE 'agent.nobody' END AS installer_version
+           FROM lines WHERE good_line AND agent_no IN (33, 39) GROUP BY ALL"""
+    ),
+    "running_rule_hits": _query(
+        "SELECT ua_rule, count(*) AS lines FROM lines WHERE good_line AND ua_rule IS NOT NULL GROUP BY ALL"
+    ),
+    "running_unknown_agents": _query(
+        f"SELECT ua, count(*) AS lines {_KEPT} AND ua_status = 'unknown' GROUP BY ALL"
+    ),
     "event_date_key": _query(f"SELECT line_id, strftime(ts, '%Y%m%d') AS event_date {_KEPT}"),
     "daily_route": _query(f"SELECT strftime(ts, '%Y%m%d') AS event_date, count(*) AS downloads {_KEPT} GROUP BY ALL"),
     "downloads_per_day": _query(
@@ -393,18 +419,45 @@ ORACLES: dict[str, str] = {
     "reject_table": _query(
         "SELECT outcome AS reject_reason, line_bytes, line_id FROM lines WHERE outcome <> 'kept'"
     ),
-    # Lines of the first ten days are not sent at all.
     "delivery_accounting": _query(
-        f"""SELECT strftime(ts, '%Y%m%d') AS event_date, count(*) FILTER (day(ts) > 10) AS rows_delivered,
-            count(DISTINCT line_id // {CHUNK}) FILTER (day(ts) > 10) AS deliveries,
-            count(*) FILTER (day(ts) <= 10) AS rows_dropped {_KEPT} GROUP BY ALL"""
+        f"""SELECT strftime(ts, '%Y%m%d') AS event_date, count(*) AS rows_delivered,
+            count(DISTINCT line_id // {CHUNK}) AS deliveries, CAST(0 AS BIGINT) AS rows_dropped {_KEPT} GROUP BY ALL"""
+    ),
+    "delivery_metrics": _query(
+        "SELECT count(*) AS rows_in, count(*) FILTER (outcome = 'kept') AS kept, count(*) FILTER (outcome <> 'kept') AS refused, "
+        + ", ".join(f"count(*) FILTER (outcome = '{reason}') AS refused_{reason}" for reason in [*REASONS, "missing_required"])
+        + f", count(*) FILTER (outcome = 'kept') AS delivered FROM lines GROUP BY line_id // {CHUNK}"
+    ),
+    "delivery_sink": _query(
+        f""", {_BATCHES}, sent AS (SELECT event_date, batch_no, count(*) AS n FROM ranked GROUP BY ALL)
+            SELECT event_date, count(*) AS deliveries, CAST(sum(n) AS BIGINT) AS listed, max(n) AS largest,
+              CAST(sum(n) AS BIGINT) AS "rows", CAST(sum(n) AS BIGINT) AS ids, CAST(sum(n) AS BIGINT) AS of_that_day
+            FROM sent GROUP BY event_date"""
+    ),
+    "stream_deliveries": _query(
+        f""", lanes AS (SELECT line_id % {LANES} AS lane, count(*) AS n {_KEPT} GROUP BY ALL)
+            SELECT lane, unnest(range(n // 500)) AS batch_no, CAST(500 AS BIGINT) AS "rows" FROM lanes"""
+    ),
+    "stream_deliveries_timed": _query(
+        f"""SELECT line_id % {LANES} AS lane, count(*) AS "rows", count(*) AS ids, true AS no_gap, true AS at_most_500
+            {_KEPT} GROUP BY ALL"""
     ),
     "target_table": _query(
         f"""SELECT path, n AS "rows", CAST(0 AS BIGINT) AS nulls
             FROM (SELECT count(*) AS n {_KEPT}),
             (VALUES ('timestamp'), ('url'), ('file'), ('file.filename'), ('file.project'), ('file.version'), ('file.type')) p(path)"""
     ),
+    "table_by_name": _query(
+        f"""SELECT strftime(ts, '%Y%m%d') AS event_date, CASE WHEN day(ts) <= 15 THEN 'early' ELSE 'late' END AS writer,
+            count(*) AS downloads, count(CASE WHEN day(ts) > 15 THEN tls_cipher END) AS with_tls,
+            count(installer_name) AS named {_KEPT} AND day(ts) BETWEEN 10 AND 20 GROUP BY ALL"""
+    ),
     "schema_delta_check": _query(_DELTA),
+    "drift_after_compaction": _query(
+        f"""SELECT DISTINCT strftime(ts, '%Y%m%d') AS event_date, 'old' AS writer, line_id % 4 AS batch_id, 'url' AS path,
+              'mode_changed' AS rule {_KEPT}
+            AND NOT (line_id % 4 = 0 AND day(ts) <= 20) AND NOT (line_id % 4 IN (1, 2) AND day(ts) BETWEEN 11 AND 20)"""
+    ),
     "table_evolve": _query(
         f"""SELECT strftime(ts, '%Y%m%d') AS event_date, count(*) AS "rows",
             count(CASE WHEN day(ts) > 15 THEN tls_protocol END) AS with_tls {_KEPT} GROUP BY ALL"""

@@ -2,7 +2,8 @@
 
     <root>/downloads/event_date=20240101/writer=nightly/batch_id=0/...
     <root>/rejects/writer=nightly/batch_id=0/...
-    <root>/written/writer=nightly/batch_id=0/...     the schema of that batch
+    <root>/written/writer=nightly/batch_id=0/...     the schema of that batch's rows, day by day
+    <root>/counts/writer=nightly/batch_id=0/...      lines in, kept, refused and stored
     <root>/schema/version=1/...
 
 Downloads hold the table's fields and a ``row_id``, nothing else; rejects the raw line, its
@@ -15,14 +16,16 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.operators.conform import missing_path
-from tallyline.plans.downloads import assemble, event_date
+from tallyline.plans.downloads import REASONS, assemble, event_date
 from tallyline.schema import DOWNLOADS, to_struct
 from tallyline.session import delete, store
 
@@ -39,14 +42,17 @@ _REJECT = T.StructType([T.StructField("reject_reason", T.StringType()), T.Struct
 _BESIDE = ["outcome", "event_date", *_REJECT.names, *_ORIGIN.names]
 #: The batch that compacted rows go to; streams and jobs count from 0.
 COMPACTED = -1
+_NOTE = T.StructType([T.StructField("value", T.StringType()), *_KEYS.fields[1:]])
+_COUNTED = ["rows_in", "kept", "refused", *[f"refused_{reason}" for reason in [*REASONS, "missing_required"]]]
+_COUNTS = T.StructType([T.StructField(name, T.LongType()) for name in [*_COUNTED, "delivered"]] + _KEYS.fields[1:])
 
 
-def to_rows(parsed: DataFrame, fields: list[dict] = DOWNLOADS) -> DataFrame:
+def to_rows(parsed: DataFrame, fields: list[dict] = DOWNLOADS, carry: Iterable[str] = ()) -> DataFrame:
     """Parsed lines as rows to store.
 
     Downloads have the table's fields and no raw line, rejects the other way
     round. A download that lacks a REQUIRED field becomes a reject. ``source_file``
-    and ``position`` are taken along; rows without a position get one.
+    and ``position`` are taken along, and the columns to ``carry``; rows without a position get one.
     """
     keep = F.col("reject_reason").isNull()
     if "position" not in parsed.columns:
@@ -56,7 +62,8 @@ def to_rows(parsed: DataFrame, fields: list[dict] = DOWNLOADS) -> DataFrame:
     blank = assembled.withColumns({name: F.when(keep, F.col(name)) for name in names})
     lack = F.concat(F.lit("missing "), missing_path(fields))
     table = to_struct(fields)
-    rows = blank.to(T.StructType([*table.fields, *_REJECT.fields, *_ORIGIN.fields]))
+    more = [blank.schema[name] for name in carry]
+    rows = blank.to(T.StructType([*table.fields, *_REJECT.fields, *_ORIGIN.fields, *more]))
     rows = rows.withColumn("reject_reason", F.coalesce("reject_reason", lack))
     kept = F.col("reject_reason").isNull()
     return rows.withColumns(
@@ -96,9 +103,11 @@ def write_rows(
     names = [field["name"] for field in fields]
     place = F.concat_ws("/", F.lit(writer), F.lit(str(batch_id)), "source_file", F.col("position").cast("string"))
     rows = rows.withColumns({"row_id": F.sha2(place, 256), "writer": F.lit(writer), "batch_id": F.lit(batch_id)})
-    rows = rows.persist()
+    counted, delivered = Observation(), Observation()
+    rows = rows.observe(counted, *_counts()).persist()
     try:
         kept = rows.where(F.col("outcome") == "kept").select(*names, "row_id", *_KEYS.names)
+        kept = kept.observe(delivered, F.count(F.lit(1)).alias("delivered"))
         _put(kept.hint("rebalance", "event_date") if by_day else kept, f"{root}/downloads", _KEYS.names)
         refused = rows.where(F.col("outcome") == "rejected").select(
             *_REJECT.names, *_ORIGIN.names, "row_id", *_KEYS.names[1:]
@@ -106,19 +115,63 @@ def write_rows(
         _put(refused, f"{root}/rejects", _KEYS.names[1:])
     finally:
         rows.unpersist()
-    _note(spark, root, writer, batch_id, fields)
+    note(spark, root, writer, batch_id, {day: fields for day in _days_of(spark, root, writer, batch_id)})
+    done = {**counted.get, **delivered.get}
+    line = spark.createDataFrame([tuple(done[name] for name in _COUNTS.names[:-2])], T.StructType(_COUNTS.fields[:-2]))
+    line.coalesce(1).write.mode("overwrite").parquet(f"{root}/counts/writer={writer}/batch_id={batch_id}")
+
+
+def _counts() -> list:
+    """What is counted of a batch while it is written: lines, downloads, and refused lines by reason."""
+    reason = F.col("reject_reason")
+    refused = [F.count_if(reason == name).alias(f"refused_{name}") for name in REASONS]
+    lacking = F.count_if(F.startswith(reason, F.lit("missing ")) & ~reason.isin(REASONS)).alias("refused_missing_required")
+    return [
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(reason.isNull()).alias("kept"),
+        F.count_if(reason.isNotNull()).alias("refused"),
+        *refused,
+        lacking,
+    ]
+
+
+def batch_counts(spark: SparkSession, root: str) -> DataFrame:
+    """One row per writer and batch: lines in, kept, refused (also by reason) and delivered.
+
+    Counted by the jobs that wrote the batches; the table's own files are not read. A batch that was
+    written again has the counts of its last attempt.
+    """
+    return _read(spark, f"{root}/counts", _COUNTS)
 
 
 def _put(df: DataFrame, path: str, keys: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
-def _note(spark: SparkSession, root: str, writer: str, batch_id: int, fields: list[dict]) -> None:
-    """Record the schema that a batch was written in."""
-    text = spark.createDataFrame([(json.dumps(fields),)], "value string").coalesce(1)
+def _days_of(spark: SparkSession, root: str, writer: str, batch_id: int) -> list[str]:
+    """The days that a batch has rows of, from the names of its folders."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/downloads/event_date=*/writer={writer}/batch_id={batch_id}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return [re.search("event_date=([^/]*)", status.getPath().toString()).group(1) for status in found]
+
+
+def _lines(days: dict[str, list[dict]]) -> list[str]:
+    return [json.dumps({"event_date": day, "fields": fields}) for day, fields in sorted(days.items())]
+
+
+def note(spark: SparkSession, root: str, writer: str, batch_id: int, days: dict[str, list[dict]]) -> None:
+    """Record the schemas that the rows of a batch are stored in, one line per day."""
+    text = spark.createDataFrame([(line,) for line in _lines(days)], "value string").coalesce(1)
     text.write.mode("overwrite").text(f"{root}/written/writer={writer}/batch_id={batch_id}")
 
 
+def stored_notes(spark: SparkSession, root: str) -> DataFrame:
+    """``event_date, fields`` (JSON), ``writer, batch_id``: the schema of every folder of rows."""
+    notes = spark.read.schema(_NOTE).text(f"{root}/written")
+    of = lambda key: F.get_json_object("value", f"$.{key}").alias(key)
+    return notes.select(of("event_date"), of("fields"), "writer", "batch_id")
+
+
 def write_downloads(
     df: DataFrame, root: str, writer: str, batch_id: int = 0, fields: list[dict] | None = None
 ) -> None:
@@ -143,14 +196,16 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def read_downloads(spark: SparkSession, root: str, fields: list[dict] | None = None) -> DataFrame:
+def read_downloads(spark: SparkSession, root: str, fields: list[dict] | None = None, once: bool = False) -> DataFrame:
     """The table, in its current schema unless given; fields a file lacks are null.
 
     Filters on ``event_date`` and ``batch_id`` prune folders, others and the
-    columns asked for reach the Parquet scan.
+    columns asked for reach the Parquet scan. While days are compacted their rows may be there
+    twice for a moment; ``once`` takes each row id once, at the price of a shuffle.
     """
     fields = fields or current_fields(spark, root) or DOWNLOADS
-    return _read(spark, f"{root}/downloads", T.StructType([*to_struct(fields).fields, _ROW_ID, *_KEYS.fields]))
+    rows = _read(spark, f"{root}/downloads", T.StructType([*to_struct(fields).fields, _ROW_ID, *_KEYS.fields]))
+    return rows.dropDuplicates(["event_date", "row_id"]) if once else rows
 
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
@@ -183,19 +238,49 @@ def compact_days(spark: SparkSession, root: str, days: list[str], writer: str) -
     """Put the batches that a writer has finished for closed days into few files.
 
     The writer's last batch stays as it is: only that one can be replayed. Rows go to the folder
-    of batch ``COMPACTED``, then the folders they came from are deleted. A run that was cut off
-    in between has left rows twice; the next one finds them by their id.
+    of batch ``COMPACTED``, then the folders they came from are deleted, and with them their records:
+    a batch that has no day left leaves nothing behind. A run that was cut off in between has left rows
+    twice; the next one finds them by their id. Refused lines have no day; those of all finished
+    batches are put together too, in a folder that the number of the last batch names.
     """
-    rows = read_downloads(spark, root).where((F.col("writer") == writer) & F.col("event_date").isin(days))
-    last = read_downloads(spark, root).where(F.col("writer") == writer).agg(F.max("batch_id")).first()[0]
-    old = rows.where(F.col("batch_id") < F.lit(last))
-    folders = old.select("event_date", "batch_id").distinct().where(F.col("batch_id") != COMPACTED).collect()
-    copy = store(old.dropDuplicates(["row_id"]), "compact")
+    mine = F.col("writer") == writer
+    fields = current_fields(spark, root) or DOWNLOADS
+    table = read_downloads(spark, root).where(mine)
+    last = table.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return
+    old = table.where(F.col("event_date").isin(days) & (F.col("batch_id") < F.lit(last)))
+    folders = {tuple(r) for r in old.select("event_date", "batch_id").distinct().collect()}
+    copy = store(old.dropDuplicates(["event_date", "row_id"]), "compact")
     copy = copy.withColumn("batch_id", F.lit(COMPACTED)).hint("rebalance", "event_date")
     _put(copy, f"{root}/downloads", _KEYS.names)
-    _note(spark, root, writer, COMPACTED, current_fields(spark, root) or DOWNLOADS)
-    for row in folders:
-        delete(spark, f"{root}/downloads/event_date={row.event_date}/writer={writer}/batch_id={row.batch_id}")
+    done = [(day, batch) for day, batch in folders if batch != COMPACTED]
+    _delete_all(spark, [f"{root}/downloads/event_date={day}/writer={writer}/batch_id={batch}" for day, batch in done])
+
+    notes: dict[int, dict[str, list[dict]]] = {}
+    touched = {batch for _, batch in done} | {COMPACTED}
+    for row in stored_notes(spark, root).where(mine & F.col("batch_id").isin(sorted(touched))).collect():
+        notes.setdefault(row.batch_id, {})[row.event_date] = json.loads(row.fields)
+    for day, batch in done:
+        notes.get(batch, {}).pop(day, None)
+    notes.setdefault(COMPACTED, {}).update({day: fields for day, _ in folders})
+    for batch in sorted(touched):
+        if notes.get(batch):
+            note(spark, root, writer, batch, notes[batch])
+    _delete_all(spark, [f"{root}/written/writer={writer}/batch_id={b}" for b in touched if not notes.get(b)])
+
+    refused = read_rejects(spark, root).where(mine & (F.col("batch_id") < F.lit(last)) & (F.col("batch_id") >= 0))
+    finished = [r.batch_id for r in refused.select("batch_id").distinct().collect()]
+    if len(finished) > 1:
+        copy = store(refused.dropDuplicates(["row_id"]), "compact").withColumn("batch_id", F.lit(-1 - last))
+        _put(copy.hint("rebalance"), f"{root}/rejects", _KEYS.names[1:])
+        _delete_all(spark, [f"{root}/rejects/writer={writer}/batch_id={batch}" for batch in finished])
+
+
+def _delete_all(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders, several at a time: a day of a stream may have some thousands."""
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(lambda path: delete(spark, path), paths))
 
 
 def current_fields(spark: SparkSession, root: str) -> list[dict] | None:

@@ -34,9 +34,9 @@ def mark_truncated(df: DataFrame, max_broadcast_bytes: int = 64 << 20) -> DataFr
 
     Each line but a truncated one takes its bytes plus one. So the sum over a file, combined per
     task before the shuffle, tells whether its last line is whole: that scan yields names of files
-    and no positions. The lines of cut files are then stored, and the last of each is found among
-    the stored ones, so that marking and reading see the same split of the files. Files that are
-    whole pass through. Names are broadcast up to a measured size, joined by shuffle beyond it.
+    and no positions. The cut files are then read by their names, their lines stored, and the last of each
+    is found among the stored ones, so that marking and reading see the same split of the files. Files
+    that are whole pass through. Names are broadcast up to a measured size, joined by shuffle beyond it.
 
     Compressed files are refused with an error: their size says nothing about their lines.
     """
@@ -54,7 +54,7 @@ def mark_truncated(df: DataFrame, max_broadcast_bytes: int = 64 << 20) -> DataFr
     small = names <= max_broadcast_bytes
     cut = F.broadcast(cut) if small else cut
     whole = df.join(cut, "source_file", "left_anti").select(*df.columns, F.lit(False).alias("truncated"))
-    held = store(df.join(cut, "source_file", "left_semi").select(*df.columns), "cut")
+    held = store(_lines_of(df, cut), "cut")
     last = held.groupBy("source_file").agg(
         F.max_by("position", F.struct("block_start", "position")).alias("_last")
     )
@@ -64,6 +64,19 @@ def mark_truncated(df: DataFrame, max_broadcast_bytes: int = 64 << 20) -> DataFr
     return whole.unionByName(held.select(*df.columns, "truncated"))
 
 
+def _lines_of(df: DataFrame, files: DataFrame, most: int = 10_000) -> DataFrame:
+    """The lines of some files of ``df``, read by name; filtered from ``df`` if there are too many of them,
+    a name has signs that a path would not take literally, or ``df`` has columns of its own."""
+    names = [row.source_file for row in files.limit(most + 1).collect()]
+    known = {"raw", "source_file", "file_size", "block_start", "position"}
+    if len(names) > most or any(set(name) & set("%*?[]{}\\,") for name in names) or set(df.columns) - known:
+        return df.join(files, "source_file", "left_semi").select(*df.columns)
+    if not names:
+        return df.limit(0)
+    lines = df.sparkSession.read.option("lineSep", "\n").text(names).select(*_origin())
+    return lines.withColumn("position", F.monotonically_increasing_id()).select(*df.columns)
+
+
 def stream_lines(
     spark: SparkSession,
     path: str,
