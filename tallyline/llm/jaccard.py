@@ -2,28 +2,32 @@
 
 Jaccard distance is a metric, and two documents link when theirs is at most ``eps``. Between
 sets that share nothing it is 1, however they lie to any pivot, so no triangle inequality can
-tell them apart. The first regions are therefore made from pieces of the sets. The space of
-shingles is cut into classes by hash, more classes than two linked sets of a size can differ
-in shingles; so each linked pair agrees exactly on one class at least, and documents that agree
-on a class form a region (the Voronoi cell of radius zero around that piece as its pivot).
-
-Within a region distances are informative, and regions are joined recursively:
-
-* the most central member of a region (the one that shares most regions with others) is its
-  pivot, its distance to all members is computed, and members within ``eps`` link to it (so a
-  group of n near copies costs n pairs, not n * n);
-* a region whose members are all connected already is done. Of a small one the pairs that are
-  not connected are compared, unless by the triangle inequality their distances to the pivot,
-  which differ by more than ``eps``, rule them out;
-* one too large for a task (``BLOCK`` members) gets several pivots. Every member goes to the
-  nearest (its Voronoi region), and is replicated to each other whose distance is at most
-  2 * ``eps`` larger, as the triangle inequality demands. Where that would double a region it
-  stays whole, without its pivots, which were compared with all of it;
-* what is left is joined block by block, a pair of blocks to a task, all pairs of blocks; a task
-  returns no more links than it takes to connect what it found connected.
+tell them apart: over documents that are mostly unrelated, pivots alone separate nothing. Regions
+are therefore made from pieces of the sets first, which is not the method of pivots; pivots, windows
+and recursion work on what is large after that.
+
+The space of shingles is cut into classes by hash, more classes than two linked sets of a size can
+differ in shingles. ``d`` shingles of difference touch ``d`` classes at most, so with ``d + 1 + spare``
+classes a linked pair agrees on ``1 + spare``, and documents that agree on a class form a region.
+``spare`` is taken so large that a set hardly ever has more empty classes, which therefore are no keys;
+what a pair has to agree on besides them is its ``need``.
+
+* Of a set's regions of over ``SMALL`` members it leaves its ``need - 1`` largest. A linked pair still
+  meets: of all regions that it shares, neither of the two leaves the smallest one.
+* Pairs within small regions are counted, and only pairs that agree as often as linked ones must
+  are compared at all. So sets that share a passage, and thus a few pieces, cost a count.
+* In each larger region the most central member (the one that shares most regions with others) is a
+  pivot. Its distance to all members is computed, and members within ``eps`` link to it, so a
+  group of n near copies costs n pairs, not n * n. A region whose members are all connected then is done.
+* One that is not, and is too large for a task (``BLOCK`` members), gets several pivots. Every member
+  goes to the nearest (its Voronoi region), and is replicated to each other whose distance is at most
+  2 * ``eps`` larger, as the triangle inequality demands; the regions are treated in the same way
+  again. Where that would double a region it stays whole, without its pivots, which were compared with all of it.
+* What is left is joined block by block, a pair of blocks to a task; a task returns no more links
+  than it takes to connect what it found connected.
 
 So no link between two different sets is lost: each is found, or its ends are connected by
-others. Equal sets are one node throughout.
+others. Equal sets are one node throughout. Links are returned as components; their number is not.
 
 Sets are held as 64-bit hashes of shingles, nodes as a 64-bit hash of the set. Null and empty
 texts have an empty set and no links. Ties are broken by the hash of the set, ids by value.
@@ -33,11 +37,11 @@ Rows that repeat an id keep their own set; the component of a null id counts it
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import floor, log
+from math import exp, floor, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -70,18 +74,18 @@ def node_of(found: np.ndarray) -> int:
 
 
 class Signatures:
-    """Keys of which each linked pair of sets shares at least one.
+    """Keys of which each linked pair of sets shares as many as both need.
 
     Sizes fall into levels, a factor of ``1 / t`` wide. A pair meets on the level of its larger
-    set, so each set speaks for its own level and the next. Sets of a level that link differ in
-    ``d`` shingles at most; with ``d + 1 + spare`` classes they agree on more than ``spare``.
-    Empty classes are keys only for a set with more than ``spare`` of them, as then for all it links to.
+    set, so each set speaks for its own level and the next. Empty classes are keys only for a set
+    with more than ``spare`` of them.
     """
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
         self.width = log(den / num) * 1.001  # a little more, so that rounding cannot part two levels
         self.tops: dict[int, int] = {}
+        self.known: dict[int, tuple[int, int]] = {}
 
     def top(self, level: int) -> int:
         """The largest size of a level."""
@@ -92,26 +96,42 @@ class Signatures:
             self.tops[level] = s
         return self.tops[level]
 
-    def of(self, found: np.ndarray) -> np.ndarray:
-        size = len(found)
-        own = floor(log(size) / self.width)
-        h = mix(found + np.uint64(0x5851F42D4C957F2D))
-        out = []
-        for level in (own, own + 1):
+    def classes(self, level: int) -> tuple[int, int]:
+        """The classes of a level, and how many of them a set may leave empty."""
+        if level not in self.known:
             # |x ^ y| <= (1 - t) |x u y|, and |x u y| <= min(|x|, |y|) / t.
             d = self.top(level) * (self.den - self.num) // self.num
             spare = 0 if d == 0 else 1 if d < 4 else 2
-            m = d + 1 + spare
+            least = max(1, self.top(level - 2)) if level > 1 else 1  # sets of the level below speak here, too
+            while spare < 4 * d:
+                m = d + 1 + spare
+                empty = m * exp(-least / m)
+                if spare >= empty + 3 * empty**0.5 or d < 4:
+                    break
+                spare += 1
+            self.known[level] = d + 1 + spare, spare
+        return self.known[level]
+
+    def of(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``sig, level, need`` of a set; a need below 0 says that its empty classes are keys."""
+        own = floor(log(len(found)) / self.width)
+        h = mix(found + np.uint64(0x5851F42D4C957F2D))
+        out, levels, needs = [], [], []
+        for level in (own, own + 1):
+            m, spare = self.classes(level)
             cls = ((h >> np.uint64(33)) % np.uint64(m)).astype(np.int64)
             order = np.argsort(cls, kind="stable")
             cls = cls[order]
             starts = np.flatnonzero(np.concatenate([[True], cls[1:] != cls[:-1]]))
             sums, at = np.add.reduceat(h[order], starts), cls[starts]
-            if m - len(at) > spare:
+            empty = m - len(at)
+            if empty > spare:
                 void = np.setdiff1d(np.arange(m), at)
                 sums, at = np.concatenate([sums, np.zeros(len(void), np.uint64)]), np.concatenate([at, void])
             out.append(mix(sums + mix(at.astype(np.uint64) * np.uint64(65536) + np.uint64(level))))
-        return np.unique(np.concatenate(out))
+            levels.append(np.full(len(at), level, np.int32))
+            needs.append(np.full(len(at), 1 + spare - empty if empty <= spare else -1 - spare, np.int32))
+        return np.concatenate(out), np.concatenate(levels), np.concatenate(needs)
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -135,12 +155,12 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _signatures(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """``sig, node`` of every set, once per task."""
+    """``sig, level, need, node`` of every set, once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, keys, seen = WordHashes(), Signatures(num, den), set()
         for batch in batches:
-            sigs, nodes, held = [], [], 0
+            made, nodes, held = [], [], 0
             for t in batch.column(0):
                 found = shingles(t.as_py(), n, words)
                 if not len(found) or (node := node_of(found)) in seen:
@@ -148,22 +168,22 @@ def _signatures(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(node)
-                sigs.append(keys.of(found).astype(np.int64))
-                nodes.append(np.full(len(sigs[-1]), node, np.int64))
-                held += len(sigs[-1])
+                made.append(keys.of(found))
+                nodes.append(np.full(len(made[-1][0]), node, np.int64))
+                held += len(nodes[-1])
                 if held > 500_000:
-                    yield _pairs(sigs, nodes)
-                    sigs, nodes, held = [], [], 0
-            if sigs:
-                yield _pairs(sigs, nodes)
+                    yield _rows(made, nodes)
+                    made, nodes, held = [], [], 0
+            if made:
+                yield _rows(made, nodes)
 
-    return docs.select("text").mapInArrow(run, "sig bigint, node bigint")
+    return docs.select("text").mapInArrow(run, "sig bigint, level int, need int, node bigint")
 
 
-def _pairs(sigs: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(sigs)), pa.array(np.concatenate(nodes))], names=["sig", "node"]
-    )
+def _rows(made: list[tuple[np.ndarray, ...]], nodes: list[np.ndarray]) -> pa.RecordBatch:
+    sig, level, need = (np.concatenate(column) for column in zip(*made))
+    columns = [pa.array(sig.astype(np.int64)), pa.array(level), pa.array(need), pa.array(np.concatenate(nodes))]
+    return pa.RecordBatch.from_arrays(columns, names=["sig", "level", "need", "node"])
 
 
 def _contents(docs: DataFrame, n: int) -> DataFrame:
@@ -230,6 +250,66 @@ def _measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _cells(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """``sig, level, size, members`` of all regions of two sets or more, ``SMALL`` members to a row at most.
+
+    The keys are shuffled once; all that follows keeps their partitioning.
+    """
+    region = Window.partitionBy("sig")
+    shared = (
+        _signatures(docs, n, num, den)
+        .withColumn("first", F.min("node").over(region))
+        .withColumn("last", F.max("node").over(region))
+        .where("first <> last")
+        .groupBy("sig", "level", "node")
+        .agg(F.max("need").alias("need"))
+    )
+    placed = shared.withColumn("size", F.count("*").over(region)).withColumn(
+        "part", F.floor((F.row_number().over(region.orderBy("node")) - 1) / SMALL)
+    )
+    member = F.struct("node", "need")
+    return placed.groupBy("sig", "level", "size", "part").agg(F.collect_list(member).alias("members")).drop("part")
+
+
+def _pair_need(one: Column, two: Column) -> Column:
+    """On how many keys a linked pair agrees at least, from the needs of its sets."""
+    return F.when((one < 0) & (two < 0), F.greatest(-one, -two)).otherwise(F.greatest(one, two))
+
+
+def _left(large: DataFrame) -> DataFrame:
+    """Members of large regions, ranked: those that a set leaves have ``stays`` false."""
+    line = Window.partitionBy("node", "level").orderBy(F.desc("size"), "sig")
+    # A set whose empty classes are keys leaves nothing: its need depends on its partner.
+    may = F.when(F.col("need") > 0, F.col("need") - 1).otherwise(F.lit(0))
+    return large.withColumn("stays", F.row_number().over(line) > may)
+
+
+def _counted_pairs(small: DataFrame, left: DataFrame) -> DataFrame:
+    """``a, b`` of small regions that agree as often as a linked pair must, but for regions that were left."""
+    pairs = F.flatten(
+        F.transform(
+            "members",
+            lambda x: F.transform(
+                F.filter("members", lambda y: x["node"] < y["node"]),
+                lambda y: F.struct(
+                    x["node"].alias("a"), y["node"].alias("b"), _pair_need(x["need"], y["need"]).alias("need")
+                ),
+            ),
+        )
+    )
+    found = small.select("level", F.explode(pairs).alias("pair")).select("level", "pair.*")
+    # At least one of the regions of a linked pair stays; a pair that shares a large one is found there.
+    counted = found.groupBy("a", "b", "level").agg(F.count("*").alias("agree"), F.max("need").alias("need"))
+    enough = counted.where("agree >= need").select("a", "b")
+    less = counted.where("agree < need")
+    gone = left.where("not stays").groupBy("node", "level").agg(F.count("*").alias("gone"))
+    for side in ("a", "b"):
+        mine = gone.select(F.col("node").alias(side), "level", F.col("gone").alias(f"gone_{side}"))
+        less = less.join(mine, [side, "level"], "left")
+    excused = F.coalesce("gone_a", F.lit(0)) + F.coalesce("gone_b", F.lit(0))
+    return enough.union(less.where(F.col("agree") >= F.col("need") - excused).select("a", "b")).distinct()
+
+
 def similar(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, num: int = 90, den: int = 100
 ) -> DataFrame:
@@ -242,23 +322,21 @@ def similar(
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     members = store.put(_sets(docs, n), "members")
 
+    cells = store.put(_cells(docs, n, num, den), "cells")
+    large = cells.where(F.col("size") > SMALL).select("sig", "level", "size", F.inline("members"))
+    left = store.put(_left(large), "left")
+    pairs = store.put(_counted_pairs(cells.where(F.col("size") <= SMALL), left), "pairs")
+    store.drop(cells)
     in_region = Window.partitionBy("sig")
-    cells = store.put(
-        _signatures(docs, n, num, den)
-        .withColumn("first", F.min("node").over(in_region))
-        .withColumn("last", F.max("node").over(in_region))
-        .where("first <> last")
-        .select("sig", "node"),
-        "cells",
-    )
-    sizes = cells.withColumn("size", F.count("*").over(in_region))
+    cells = left.where("stays").select("sig", "node")
+    sizes = cells.withColumn("size", F.count("*").over(in_region)).where("size > 1")
     central = store.put(sizes.groupBy("node").agg(F.sum("size").alias("rank")), "central")
     ranked = cells.join(central, "node").withColumn(
         "pivot", F.max(F.struct("rank", "node")).over(in_region)["node"]
     )
     ranked = store.put(ranked.where("node <> pivot").select("sig", "node", "pivot"), "ranked")
     stars = store.put(ranked.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    wanted = central.select("node")
+    wanted = central.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
     first = members.where("node is not null").join(wanted, "node").groupBy("node").agg(F.min("id").alias("rep"))
     texts = docs.join(first.select("rep").distinct(), F.col("id").eqNullSafe(F.col("rep")), "left_semi")
     sets = _contents(texts, n).join(wanted, "node", "left_semi").dropDuplicates(["node"])
@@ -267,6 +345,8 @@ def similar(
     linked = (F.col("inter") * den) >= (F.col("total") * num)
     measured = store.put(_measure(stars, sets), "measured")
     links = measured.where(linked).select("a", "b")
+    links = store.put(links.union(_measure(pairs, sets).where(linked).select("a", "b")), "near")
+    store.drop(pairs, stars)
     roots = components(store, links)
 
     # What is left of each region: members with the distance to its pivot, without the pivot.
@@ -275,6 +355,7 @@ def similar(
         measured.select(F.col("a").alias("pivot"), F.col("b").alias("node"), away.alias("d")), ["pivot", "node"]
     ).select("sig", "node", "d")
     rest = store.put(_open_regions(rest, roots), "rest")
+    store.drop(ranked, measured)
     eps = 1 - num / den + 1e-9
     ready = rest.where(F.col("members") <= BLOCK)
     for _ in range(ROUNDS):

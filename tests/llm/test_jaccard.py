@@ -45,6 +45,11 @@ def _corpus(seed):
                 copy[r.randrange(len(copy))] = r.choice(WORDS)
             texts.append(" ".join(copy))
     texts += [" ".join(r.choice(WORDS) for _ in range(r.randint(1, 90))) for _ in range(60)]
+    # Passages that many texts share, so that unrelated sets meet in large regions.
+    passage = [r.choice(WORDS) for _ in range(40)]
+    for _ in range(60):
+        own = [r.choice(WORDS) for _ in range(r.choice([10, 20, 60, 100]))]
+        texts += [" ".join(passage + own), " ".join(passage + own[:-1] + ["x"])][: r.randint(1, 2)]
     texts += texts[20:30]
     r.shuffle(texts)
     return list(enumerate(texts, start=5))
@@ -77,16 +82,19 @@ def test_signatures_meet_for_every_linked_pair():
     for num, den in ((90, 100), (80, 100)):
         keys = jaccard.Signatures(num, den)
         for _ in range(3000):
-            a = set(r.sample(range(10**6), r.randint(1, 60)))
+            a = set(r.sample(range(10**6), r.choice([r.randint(1, 60), r.randint(60, 400)])))
             b = set(a)
-            for _ in range(r.randint(0, max(1, len(a) // 8))):
+            for _ in range(r.randint(0, max(1, len(a) // 6))):
                 if r.random() < 0.5 and len(b) > 1:
                     b.discard(r.choice(sorted(b)))
                 else:
                     b.add(r.randrange(10**6))
             if den * len(a & b) >= num * len(a | b):
                 x, y = (keys.of(jaccard.mix(np.array(sorted(s), np.uint64))) for s in (a, b))
-                assert len(np.intersect1d(x, y)), (a, b)
+                level = max(x[1].min(), y[1].min())
+                one, two = (int(need[levels == level][0]) for _, levels, need in (x, y))
+                need = max(-one, -two) if one < 0 and two < 0 else max(one, two)
+                assert need > 0 and len(np.intersect1d(x[0], y[0])) >= need, (a, b)
 
 
 def test_names_of_groups_do_not_depend_on_the_order_of_rows(spark):
