@@ -8,11 +8,11 @@ phrase from each place is put in; the counts of its beginnings are sums over sub
 spilled. Runs are merged by an exchange that adds up the counts; it deals by the whole phrase, because
 its first word alone, like "the", may hold a good part of all.
 
-Three passes count all phrases that matter: words, pairs of frequent words, and three to five words
-in a row where all pairs in them are frequent, as each part of a frequent phrase is as frequent at
-least. Frequent words and pairs reach the tasks as Bloom filters of at most ``FILTER_BITS`` bits.
-What one lets through wrongly is counted like all else and found to be rare, so counts are exact
-whatever its size.
+Each part of a frequent phrase is as frequent at least, so phrases are counted in three passes: words;
+pairs of frequent words, only by a hash of ``BUCKETS_A_WORD`` buckets for each word of the corpus; and two
+to five words in a row where the buckets of all pairs are frequent. Frequent words and buckets reach
+the tasks as Bloom filters of at most ``FILTER_BITS`` bits. What a bucket or a filter lets through
+wrongly is counted like all else and found to be rare, so counts are exact whatever their sizes.
 
 Null languages count as ``und``, null texts as empty. Words and phrases of one language know nothing
 of another's. Texts are taken whole; long ones are cut up at piece marks, where no phrase crosses.
@@ -38,6 +38,7 @@ BURST, LEVELS, HELD = 4096, 3, 400_000
 #: Words put in together, words numbered before all is spilled, rows of a spilled batch.
 TOGETHER, NUMBERED, ROWS = 200_000, 500_000, 50_000
 FILTER_BITS = 1 << 28
+BUCKETS_A_WORD = 64
 #: Rows of totals that are broadcast; there is one for each language.
 MAX_BROADCAST_ROWS = 100_000
 
@@ -156,11 +157,12 @@ def words_of(text: str | None) -> Iterator[list[bytes]]:
 class Counter:
     """Counts the phrases of ``low`` to ``high`` words of a task's texts; yields sorted runs.
 
-    Words alone are counted by their number, without a trie. ``words`` and ``pairs`` are the filters.
+    Words alone are counted by their number, without a trie. ``words`` and ``pairs`` are the filters,
+    ``mask`` cuts the hash of a pair to its bucket.
     """
 
-    def __init__(self, low: int, high: int, words: np.ndarray | None = None, pairs: np.ndarray | None = None, held: int = HELD):
-        self.low, self.high, self.words, self.pairs, self.held = low, high, words, pairs, held
+    def __init__(self, low: int, high: int, words: np.ndarray | None = None, pairs: np.ndarray | None = None, mask: int = (1 << 62) - 1, held: int = HELD):
+        self.low, self.high, self.words, self.pairs, self.mask, self.held = low, high, words, pairs, mask, held
         self.totals: dict[str, int] = {}
         self._reset()
 
@@ -208,19 +210,22 @@ class Counter:
         if not limit:
             self._reset()
 
+    def _pairs(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which places have a word that passes, and the pairs of these: their places and buckets."""
+        new = _hashes(self.names[len(self.hashed) :])
+        self.hashed = np.concatenate([self.hashed, new])
+        good = np.ones(len(new), bool) if self.words is None else _holds(self.words, new)
+        self.passed = np.concatenate([self.passed, good])
+        word = (ids > 0) & self.passed[ids]
+        at = np.flatnonzero(word[:-1] & word[1:])
+        return word, at, mix(self.hashed[ids[at]] * np.uint64(3) + mix(self.hashed[ids[at + 1]])) & np.uint64(self.mask)
+
     def _paths(self, ids: np.ndarray) -> tuple[list[bytes], list[int]]:
         """The longest phrase from each place, distinct, with counts."""
         n = len(ids) - self.high
-        word = ids > 0
-        if self.words is not None:
-            new = _hashes(self.names[len(self.hashed) :])
-            self.hashed = np.concatenate([self.hashed, new])
-            self.passed = np.concatenate([self.passed, _holds(self.words, new, np.zeros(len(new), np.uint64))])
-            word &= self.passed[ids]
-        joined = word[:-1] & word[1:]
-        if self.pairs is not None:
-            at = np.flatnonzero(joined)
-            joined[at] = _holds(self.pairs, self.hashed[ids[at]], self.hashed[ids[at + 1]])
+        word, at, buckets = self._pairs(ids)
+        joined = np.zeros(len(ids) - 1, bool)
+        joined[at] = True if self.pairs is None else _holds(self.pairs, buckets)
         length = word[:n].astype(np.int64)
         on = word[:n].copy()
         for step in range(self.high - 1):
@@ -284,52 +289,102 @@ def _hashes(names: list[tuple[str, bytes]]) -> np.ndarray:
     return np.array([xxh3_64_intdigest(lang.encode() + b"\n" + word) for lang, word in names], np.uint64)
 
 
-def _hashed(names: list[tuple[str, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Phrases of one or two words as two hashes."""
-    parts = [(lang, *word.split(b" ")) for lang, word in names]
-    first = _hashes([(p[0], p[1]) for p in parts])
-    return first, _hashes([(p[0], p[2]) for p in parts]) if len(parts[0]) > 2 else np.zeros(len(parts), np.uint64)
-
-
-def _bits(first: np.ndarray, second: np.ndarray, bits: int) -> list[np.ndarray]:
-    """The three bits of each pair of hashes."""
-    h = mix(first * np.uint64(3) + mix(second))
+def _bits(hashed: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The three bits of each hash."""
+    h = mix(hashed)
     step = mix(h) | np.uint64(1)
     return [((h + np.uint64(i) * step) & np.uint64(bits - 1)).astype(np.int64) for i in range(3)]
 
 
-def _holds(words: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Which phrases a Bloom filter, as 64-bit words, may hold."""
-    out = np.ones(len(first), bool)
-    for bit in _bits(first, second, 64 * len(words)):
+def _holds(words: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """Which hashes a Bloom filter, as 64-bit words, may hold."""
+    out = np.ones(len(hashed), bool)
+    for bit in _bits(hashed, 64 * len(words)):
         out &= (words[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
     return out
 
 
-def phrase_filter(phrases: DataFrame) -> np.ndarray:
-    """The filter for rows of ``lang, phrase``, all of one word or all of two; at most ``FILTER_BITS`` bits reach the driver."""
-    bits = min(FILTER_BITS, 1 << max(10, (16 * phrases.count()).bit_length()))
+def _filter(hashes: DataFrame) -> np.ndarray:
+    """The Bloom filter of a column ``h``; at most ``FILTER_BITS`` bits reach the driver."""
+    bits = min(FILTER_BITS, 1 << max(10, (16 * hashes.count()).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = [(lang, p.encode()) for lang, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            if names:
-                at = np.concatenate(_bits(*_hashed(names), bits))
-                yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(at & 63)], names=["slot", "bit"])
+            at = np.concatenate(_bits(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), bits))
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(at & 63)], names=["slot", "bit"])
 
-    set_bits = phrases.select("lang", "phrase").mapInArrow(run, "slot bigint, bit bigint")
+    set_bits = hashes.select("h").mapInArrow(run, "slot bigint, bit bigint")
     slots = set_bits.groupBy("slot").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit AS int))")).alias("word")).toArrow()
     words = np.zeros(bits // 64, np.int64)
     words[slots.column("slot").to_numpy()] = slots.column("word").to_numpy()
     return words.view(np.uint64)
 
 
-def _counted(docs: DataFrame, low: int, high: int, *filters: np.ndarray) -> DataFrame:
+def _word_hashes(words: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [(lang, w.encode()) for lang, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(names).view(np.int64))], names=["h"])
+
+    return words.select("lang", "phrase").mapInArrow(run, "h bigint")
+
+
+def _added(buckets: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets in order, with the sums of their counts."""
+    bucket, count = np.concatenate(buckets), np.concatenate(counts)
+    order = np.argsort(bucket, kind="stable")
+    bucket, count = bucket[order], count[order]
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    return bucket[first], np.add.reduceat(count, first)
+
+
+class PairCounter(Counter):
+    """Counts the buckets of a task's pairs, ``h, f`` in order of the buckets."""
+
+    def __init__(self, words: np.ndarray, mask: int):
+        self.buckets, self.counts, self.kept = [], [], 0
+        super().__init__(2, 2, words, mask=mask)
+
+    def put(self, limit: int) -> Iterator[pa.RecordBatch]:
+        if self.waiting:
+            _, _, found = self._pairs(np.concatenate([*self.waiting, np.zeros(2, np.int64)]))
+            bucket, count = np.unique(found, return_counts=True)
+            self.buckets.append(bucket)
+            self.counts.append(count)
+            self.kept += len(bucket)
+        self.waiting, self.count = [], 0
+        if len(self.names) > NUMBERED:
+            self._reset()
+        if self.buckets and (not limit or self.kept > 5 * HELD):
+            bucket, count = _added(self.buckets, self.counts)
+            self.buckets, self.counts, self.kept = [bucket], [count], len(bucket)
+            if not limit or len(bucket) > 4 * HELD:
+                self.buckets, self.counts, self.kept = [], [], 0
+                for i in range(0, len(bucket), ROWS):
+                    part = slice(i, i + ROWS)
+                    yield pa.RecordBatch.from_arrays([pa.array(bucket[part].view(np.int64)), pa.array(count[part])], names=["h", "f"])
+
+
+def _pair_buckets(docs: DataFrame, words: np.ndarray, mask: int) -> DataFrame:
+    """``h, f``: how many pairs of frequent words each bucket has."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = PairCounter(shared.value, mask)
+        for batch in batches:
+            for lang, text in zip(batch.column(0), batch.column(1)):
+                yield from counter.read(lang.as_py(), text.as_py())
+        yield from counter.put(0)
+
+    return docs.mapInArrow(run, "h bigint, f bigint").groupBy("h").agg(F.sum("f").alias("f"))
+
+
+def _counted(docs: DataFrame, low: int, high: int, filters: tuple[np.ndarray, ...] = (), mask: int = 0) -> DataFrame:
     """``lang, k, phrase, f``: exact counts of phrases of ``low`` to ``high`` words."""
     shared = [docs.sparkSession.sparkContext.broadcast(words) for words in filters]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(low, high, *[words.value for words in shared])
+        counter = Counter(low, high, *[words.value for words in shared], mask=mask)
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
                 yield from counter.read(lang.as_py(), text.as_py())
@@ -344,13 +399,12 @@ def frequent(docs: DataFrame, lang: str = "lang", text: str = "text", least: int
     docs = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     often = (F.col("f") >= least) | (F.col("k") == 0)
     words = store.put(_counted(docs, 1, 1).where(often), "words")
-    of_words = phrase_filter(words.where("k = 1"))
-    pairs = store.put(_counted(docs, 2, 2, of_words).where(often), "pairs")
-    found = words.unionByName(pairs)
-    if longest < 3:
-        return found
-    longer = store.put(_counted(docs, 3, longest, of_words, phrase_filter(pairs)).where(often), "longer")
-    return found.unionByName(longer)
+    of_words = _filter(_word_hashes(words.where("k = 1")))
+    n = words.where("k = 0").agg(F.coalesce(F.sum("f"), F.lit(0)).alias("n")).first()["n"]
+    mask = (1 << min(62, max(20, (BUCKETS_A_WORD * n).bit_length()))) - 1
+    buckets = store.put(_pair_buckets(docs, of_words, mask).where(F.col("f") >= least).select("h"), "buckets")
+    longer = store.put(_counted(docs, 2, longest, (of_words, _filter(buckets)), mask).where(often), "longer")
+    return words.unionByName(longer)
 
 
 def _words():
