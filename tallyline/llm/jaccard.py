@@ -50,6 +50,8 @@ from tallyline.llm.common import Stored, WordHashes, mix
 #: Members up to which the pairs of a region are listed, members of a block that a task joins,
 #: pivots of a region over that size, and times that such regions are split by pivots.
 SMALL, BLOCK, PIVOTS, ROUNDS = 16, 1500, 8, 3
+#: Rows of 24 bytes that are broadcast.
+MAX_BROADCAST_ROWS = 1_000_000
 #: Sets that a task remembers as already sent.
 SEEN = 200_000
 
@@ -303,6 +305,8 @@ def _counted_pairs(small: DataFrame, left: DataFrame) -> DataFrame:
     enough = counted.where("agree >= need").select("a", "b")
     less = counted.where("agree < need")
     gone = left.where("not stays").groupBy("node", "level").agg(F.count("*").alias("gone"))
+    # Up to a counted size it goes to the pairs, most of which end here; beyond it they are shuffled.
+    gone = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_ROWS else gone
     for side in ("a", "b"):
         mine = gone.select(F.col("node").alias(side), "level", F.col("gone").alias(f"gone_{side}"))
         less = less.join(mine, [side, "level"], "left")

@@ -61,6 +61,7 @@ def _corpus(seed):
 def test_components_equal_brute_force(spark, monkeypatch, n, num, den, small, block, seed):
     monkeypatch.setattr(jaccard, "SMALL", small)
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "MAX_BROADCAST_ROWS", 0 if seed == 3 else jaccard.MAX_BROADCAST_ROWS)
     docs = _corpus(seed)
     df = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, node int, sig string")
     found = jaccard.similar(df, n=n, num=num, den=den).select("id", "n_shingles", "component_id").collect()
