@@ -58,10 +58,11 @@ _KEY = r"(?i:password|passwd|pwd|passphrase|token|secret|api[_-]?key|access[_-]?
 _HEX = "[0-9A-Fa-f]{1,4}"
 _GAP = r"[^\p{L}\p{N}_+\r\n]{0,5}"
 
-#: Kind and pattern, in the order in which they are tried at a place.
+#: Kind and pattern, in the order in which they are tried at a place. No group is repeated without
+#: a bound: the regular expressions of the JVM take stack for every turn of one.
 PATTERNS: list[tuple[str, str]] = [
     ("secret", rf"(?=[aApPsStT]){_KEY}[A-Za-z0-9+/_\-.]{{6,}}"),
-    ("email", r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}"),
+    ("email", r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}@(?:[\p{L}\p{N}\-]+\.){1,30}\p{L}{2,}"),
     ("person", rf"(?=[A-ZА-ЯЁΆ-Ωгдκδ])(?<![\p{{L}}\p{{N}}_])(?:{_TITLED}|{_GIVEN})"),
     ("iban", r"(?=[A-Z])\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"),
     ("ipv6", rf"(?<![\w:])(?:(?:{_HEX}:){{7}}{_HEX}|(?=[A-Fa-f:]*\d)(?:(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|(?:{_HEX}:){{1,7}}:|::(?:{_HEX}:){{0,6}}{_HEX}))(?![\w:])"),
@@ -275,10 +276,12 @@ def dictionary(found: DataFrame, store: Stored, key: str) -> DataFrame:
     real = store.put(found.groupBy("kind", "norm").agg(F.count("*").alias("n")).select("kind", "norm", family), "entities")
     taken = real.select("family", F.lower("norm").alias("form")).distinct()
     made = real.withColumn("attempt", F.lit(0)).withColumn("settled", F.lit(False))
+    tasks = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
-        made = made.withColumn("sub", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)).withColumn(
-            "form", F.lower("sub")
-        )
+        # Few bytes and much work: dealt to a set number of tasks, which are not put together again.
+        made = made.repartition(tasks, "kind", "norm")
+        made = made.withColumn("sub", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key))
+        made = store.put(made.withColumn("form", F.lower("sub")), "made")
         # The keeper of each surrogate: one that had it before, else the smallest normal form.
         keep = made.groupBy("family", "form").agg(
             F.min(F.struct((~F.col("settled")).alias("late"), "kind", "norm")).alias("keeper")

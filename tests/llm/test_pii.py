@@ -110,3 +110,19 @@ def test_further_forms_are_found(spark):
         elif x in people:
             assert x.split()[-1] not in new and not re.search("[A-Za-z]", new)
     assert [out[len(forms) + i] for i in range(len(plain))] == plain
+
+
+def test_long_runs_of_each_alphabet(spark):
+    """100,000 characters that a pattern's parts can match, with and without an end that fits."""
+    runs = {
+        "secret": "password=" + "Ab1+/_-." * 12_500, "key": "api_key" + ".x" * 50_000 + "=abcdefgh",
+        "email": "a@" + "b." * 50_000, "email ends": "a@" + "b." * 50_000 + "com", "local": "a." * 50_000 + "@b.com",
+        "person": "Mr. " + "Ab-Cd Ef " * 11_000, "one name": "Mr. A" + "b" * 100_000, "apostrophes": "Dr. A" + "’b" * 50_000,
+        "iban": "DE89 " + "3704 " * 20_000, "iban plain": "DE89" + "A1B2" * 25_000, "ipv6": "a1:" * 33_000, "ipv6 gap": "::1" * 33_000,
+        "ip": "1.2.3.4." * 12_500, "ssn": "219-09-9999-" * 8_000, "phone": "+1 (415) " + "555 " * 25_000, "card": "4 " * 50_000,
+        "spaces": "+1" + " " * 100_000 + "2", "digits": "7" * 100_000, "titles": "Mr. " * 25_000, "blanks": "token" + " " * 100_000 + "=",
+    }
+    rows = list(enumerate(runs.values()))
+    out, n = _replaced(spark, rows)
+    assert n == len(runs)
+    assert "Ab1+/_-." * 100 not in out[0] and out[2] == runs["email"] and out[17] == runs["digits"]
