@@ -6,7 +6,9 @@ likelihoods of its trigrams. The language set is the one of the largest penalise
 among the nested sets of the largest shares; the prediction is the set's largest share.
 
 The model is fitted on a sample of labelled rows, at most about ``per_language`` of each
-language (``PER_LANGUAGE``); its size is languages x ``BUCKETS``, whatever the corpus.
+language (``PER_LANGUAGE``), drawn by id and text; of languages, on the ``LANGUAGES`` most frequent. So its
+size is bounded whatever the corpus, also where the labels are dirty. Repeated rows are drawn
+together and predicted alike; only the columns named are read, so others' names cannot clash.
 
 A text that is null or without a letter is ``und`` with score 0, and so is every text if
 nothing was learned. Ties go to the language first in alphabetical order.
@@ -29,17 +31,19 @@ PER_LANGUAGE = 3000
 #: Nats that another language must gain: per trigram, and times the logarithm of their number.
 PER_GRAM, PER_LOG = 0.02, 2.0
 ROUNDS = 12
+#: Languages of the model, at most.
+LANGUAGES = 500
 
 
 def letters() -> np.ndarray:
-    """For every code point of the first plane, and one entry for all above: is it a letter."""
-    return np.array([chr(c).isalpha() for c in range(0x10000)] + [True])
+    """For every code point: is it a letter."""
+    return np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)
 
 
 def grams(text: str, is_letter: np.ndarray) -> np.ndarray:
     """Hashed trigrams over the words of a text, word ends included."""
     code = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    letter = is_letter[np.minimum(code, 0x10000)]
+    letter = is_letter[code]
     if not letter.any():
         return np.empty(0, np.uint32)
     keep = letter.copy()
@@ -62,11 +66,12 @@ class Model:
 def fit(docs: DataFrame, text: str, lang: str, key: str, per_language: int = PER_LANGUAGE) -> Model:
     """The model of labelled rows. ``key`` decides which rows are in the sample."""
     docs = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = {r[lang]: r["n"] for r in docs.groupBy(lang).agg(F.count("*").alias("n")).collect()}
+    by_size = docs.groupBy(lang).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang).limit(LANGUAGES)
+    counts = {r[lang]: r["n"] for r in by_size.collect()}
     if not counts:
         return Model([], np.zeros((0, BUCKETS), np.float32))
     chosen = F.lit(False)
-    part = F.pmod(F.xxhash64(F.col(key)), F.lit(1_000_000))
+    part = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(1_000_000))
     for name, n in counts.items():
         chosen = chosen | ((F.col(lang) == name) & (part < int(1_000_000 * min(1.0, per_language / n)) + 1))
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tallyline.llm import html_crf, knn_quality, langmix, url_lm
-from tallyline.llm.queries import QUERIES
+from tallyline.llm.queries import QUERIES, URL_RULES
 
 SF = "/root/testdata/sf0.01"
 
@@ -23,10 +23,12 @@ def test_mixtures_and_odd_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = langmix.fit(docs, "text", "lang", "doc_id")
     by = {r.lang: r.text for r in docs.where("n_chars between 1500 and 3000").collect()}
-    rows = [(1, None), (2, ""), (3, "123 !?"), (4, by["en"] + " " + by["de"]), (5, by["fr"]), (6, by["es"] * 60)]
+    odd = [(7, "🎉🎉🎉"), (8, "😀 12"), (9, "𝐀𝐁"), (10, "𐐀𐐁𐐂")]  # signs, and letters outside the first plane
+    rows = [*odd, (1, None), (2, ""), (3, "123 !?"), (4, by["en"] + " " + by["de"]), (5, by["fr"]), (6, by["es"] * 60)]
     df = spark.createDataFrame(rows, "id int, text string")
     got = {r.id: r.f for r in df.select("id", langmix.predict(model, spark, "text").alias("f")).collect()}
-    assert [got[i].lang_pred for i in (1, 2, 3, 5, 6)] == ["und"] * 3 + ["fr", "es"]
+    assert [got[i].lang_pred for i in (1, 2, 3, 5, 6, 7, 8)] == ["und"] * 3 + ["fr", "es"] + ["und"] * 2
+    assert all(got[i].lang_pred != "und" for i in (9, 10))
     assert set(got[4].langs) == {"de", "en"} and abs(sum(got[4].shares) - 1) < 1e-3 and got[5].langs == ["fr"]
     nothing = langmix.fit(docs.limit(0), "text", "lang", "doc_id")
     assert df.select(langmix.predict(nothing, spark, "text").alias("f")).where("f.lang_pred <> 'und'").count() == 0
@@ -114,6 +116,21 @@ def test_url_models_tell_hosts_apart():
     ratio = url_lm.Ratio(model[True], model[False], 0.0)
     assert ratio.score("meadowgreen/7") > 0.3 and ratio.score("casinopills/7") < -0.3 and ratio.score("") == 0
     assert url_lm.calibrate(np.array([2.0, 3.0]), np.array([0.0, 1.0])) == 1.5
+    many = np.concatenate([[-1.0], np.arange(10.0, 30.0)])
+    assert url_lm.calibrate(many, np.array([0.0, 1.0]), 0.1) == 5.5 and url_lm.calibrate(many, np.array([0.0, 1.0]), 0.0) < -1
+
+
+def test_url_verdicts_on_hosts_without_a_rule(spark):
+    """Ordinary hosts pass in every language, hosts with a listed word do not."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    rows = url_lm.judge(pages, URL_RULES).where("rule is null").select("host", "path", "verdict").collect()
+    clean = [r for r in rows if not any(s in r.host for s in url_lm.SEEDS)]
+    unwanted = [r.verdict for r in rows if any(s in r.host for s in url_lm.SEEDS)]
+    assert sum(r.verdict == "allow" for r in clean) >= 0.95 * len(clean) > 100
+    for lang in ("en", "de", "es", "fr"):
+        mine = [r.verdict for r in clean if r.path.startswith(f"/{lang}/")]
+        assert mine.count("allow") >= 0.95 * len(mine)
+    assert unwanted.count("block") >= 0.95 * len(unwanted) > 10
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>"</script></head><body>
