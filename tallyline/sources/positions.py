@@ -13,7 +13,9 @@ unique, and growing with arrival.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -22,20 +24,36 @@ from pyspark.sql import functions as F
 
 from tallyline.session import store
 
+#: Bytes of splits that share a task, about; splits of a usual size have one of their own.
+TASK_BYTES = 32 << 20
+
 #: Columns that :func:`locate` adds.
 ADDED = ["offset", "position", "truncated"]
 
 
+def _split_bytes(spark: SparkSession) -> int:
+    """What a split holds at most, as the session has it set."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)b?", text).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def read_origin(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines as BINARY ``raw`` with what their file tells, bytes unaltered."""
+    """Lines as BINARY ``raw`` with what their file tells, bytes unaltered.
+
+    Small splits share tasks: the number of tasks goes by the bytes, however finely files are cut.
+    """
     df = spark.read.option("lineSep", "\n").text(path)
-    return df.select(
+    splits, share = df.rdd.getNumPartitions(), TASK_BYTES // max(1, _split_bytes(spark))
+    df = df.select(
         F.col("value").cast("binary").alias("raw"),
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_block_start").alias("block_start"),
     )
+    tasks = max(ceil(splits / max(1, share)), min(splits, spark.sparkContext.defaultParallelism))
+    return df.coalesce(tasks) if tasks < splits else df
 
 
 def _running():

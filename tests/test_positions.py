@@ -51,6 +51,22 @@ def test_positions_do_not_depend_on_splits(spark, files, by, split):
     assert [(a, bytes(b), *rest) for a, b, *rest in got] == list(wanted)
 
 
+@pytest.mark.parametrize("split", ["64k", "65536", "1m", "128MB"])
+def test_small_splits_share_tasks(spark, tmp_path, split):
+    for name in "ab":
+        (tmp_path / name).write_bytes(b"".join(b"%07d" % i + b"x" * 92 + b"\n" for i in range(15_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        lines = read_origin(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism  # of 46 splits of 64k
+        df = locate(lines, by="name")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    number = F.substr("raw", F.lit(1), F.lit(7)).cast("string").cast("bigint")
+    assert df.where((F.col("offset") == number * 100) & ~F.col("truncated")).count() == df.count() == 30_000
+    assert df.agg(F.countDistinct("position"), F.max("position")).first() == (30_000, 2_999_900)
+
+
 def test_running_sums_need_no_exchange(spark, files):
     path, _ = files
     plan = split_places(read_origin(spark, path))._jdf.queryExecution().executedPlan().toString()
