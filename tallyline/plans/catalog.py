@@ -26,6 +26,7 @@ from tallyline.streaming.deliver import deliver
 from tallyline.streaming.ingest import ingest
 
 CHUNK = 2500  # lines per file where a query needs files
+FILES = 200  # files that a trigger of a stream takes at most, whatever the number of files
 
 DETAILS = {
     "installer_name": "details.installer.name",
@@ -541,10 +542,14 @@ def size_batch_deliveries(spark, sf_dir):
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> str:
-    """The table a stream has written, one file of lines per batch."""
+    """The table a stream has written, one file of lines per batch: a backlog of files, then the last one alone."""
     path, root, checkpoint = (work_folder(spark, name) for name in ("lines", "table", "checkpoint"))
-    _write_files(_lines(spark, sf_dir), path)
-    ingest(stream_lines(spark, path, max_files_per_trigger=1), root, checkpoint, TOKEN, once=True).awaitTermination()
+    made, chunk = _lines(spark, sf_dir), F.floor(F.col("line_id") / CHUNK)
+    last = made.agg(F.max(chunk)).first()[0]
+    for part, mine in enumerate((chunk < F.lit(last), chunk == F.lit(last))):
+        _write_files(made.where(mine), f"{path}/part={part}")
+        source = stream_lines(spark, f"{path}/*/*", max_files_per_trigger=FILES)
+        ingest(source, root, checkpoint, TOKEN, once=True, by_file=True).awaitTermination()
     return root
 
 

@@ -20,7 +20,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,8 @@ _REJECT = T.StructType([T.StructField("reject_reason", T.StringType()), T.Struct
 _BESIDE = ["outcome", "event_date", *_REJECT.names, *_ORIGIN.names]
 #: The batch that compacted rows go to; streams and jobs count from 0.
 COMPACTED = -1
+#: Batches that one trigger may write where each file is one; their numbers begin at this one.
+PER_TRIGGER = 1_000_000
 _NOTE = T.StructType([T.StructField("value", T.StringType()), *_KEYS.fields[1:]])
 _COUNTED = ["rows_in", "kept", "refused", *[f"refused_{reason}" for reason in [*REASONS, "missing_required"]]]
 _COUNTS = T.StructType([T.StructField(name, T.LongType()) for name in [*_COUNTED, "delivered"]] + _KEYS.fields[1:])
@@ -91,28 +93,14 @@ def write_rows(
     exchange. ``by_day`` brings a scattered backlog together first; AQE then
     splits the days that are large and joins those that are small.
     """
-    from tallyline.plans.evolve import check_change
-
-    if not re.fullmatch(r"[A-Za-z0-9_-]{1,64}", writer or ""):
-        raise ValueError("a writer's id has 1 to 64 letters, digits, '-' and '_'")
     spark = rows.sparkSession
-    declared = current_fields(spark, root)
-    fields = fields or declared or DOWNLOADS
-    if declared is not None and declared != fields:
-        check_change(spark, fields, declared)
-    names = [field["name"] for field in fields]
-    place = F.concat_ws("/", F.lit(writer), F.lit(str(batch_id)), "source_file", F.col("position").cast("string"))
-    rows = rows.withColumns({"row_id": F.sha2(place, 256), "writer": F.lit(writer), "batch_id": F.lit(batch_id)})
+    fields = _fitting(spark, root, writer, fields)
     counted, delivered = Observation(), Observation()
-    rows = rows.observe(counted, *_counts()).persist()
+    rows = _with_ids(rows.withColumn("batch_id", F.lit(batch_id)), writer).observe(counted, *_counts()).persist()
     try:
-        kept = rows.where(F.col("outcome") == "kept").select(*names, "row_id", *_KEYS.names)
-        kept = kept.observe(delivered, F.count(F.lit(1)).alias("delivered"))
+        kept = _kept(rows, fields).observe(delivered, F.count(F.lit(1)).alias("delivered"))
         _put(kept.hint("rebalance", "event_date") if by_day else kept, f"{root}/downloads", _KEYS.names)
-        refused = rows.where(F.col("outcome") == "rejected").select(
-            *_REJECT.names, *_ORIGIN.names, "row_id", *_KEYS.names[1:]
-        )
-        _put(refused, f"{root}/rejects", _KEYS.names[1:])
+        _put(_refused(rows), f"{root}/rejects", _KEYS.names[1:])
     finally:
         rows.unpersist()
     note(spark, root, writer, batch_id, {day: fields for day in _days_of(spark, root, writer, batch_id)})
@@ -121,6 +109,71 @@ def write_rows(
     line.coalesce(1).write.mode("overwrite").parquet(f"{root}/counts/writer={writer}/batch_id={batch_id}")
 
 
+def write_by_file(rows: DataFrame, root: str, writer: str, trigger: int, fields: list[dict] | None = None) -> None:
+    """Write the rows of one trigger of a stream, each file as a batch of its own, replacing an earlier attempt.
+
+    So how many files a trigger takes does not show in the table, and a backlog of small files needs few triggers.
+    A batch's number is made of the trigger's and the place of its file, by name, among those of the trigger;
+    these are the same when the trigger runs again. Batches without a line are not there.
+    """
+    spark = rows.sparkSession
+    fields = _fitting(spark, root, writer, fields)
+    first = (trigger + 1) * PER_TRIGGER
+    rows = rows.persist()
+    # One row per file of a trigger.
+    files = rows.groupBy("source_file").agg(*_counts())
+    place = F.row_number().over(Window.orderBy("source_file")) - 1
+    files = files.select("source_file", (F.lit(first) + place).alias("batch_id"), *_COUNTED).persist()
+    try:
+        if files.count() > PER_TRIGGER:
+            raise ValueError(f"a trigger has over {PER_TRIGGER} files")
+        numbered = _with_ids(rows.join(F.broadcast(files.select("source_file", "batch_id")), "source_file"), writer)
+        _put(_kept(numbered, fields), f"{root}/downloads", _KEYS.names)
+        _put(_refused(numbered), f"{root}/rejects", _KEYS.names[1:])
+        # What is there now, by the names of its folders and the row counts of its files.
+        mine = f"{root}/downloads/event_date=*/writer={writer}/batch_id={trigger + 1}{'?' * (len(str(PER_TRIGGER)) - 1)}"
+        there = _read(spark, mine, _KEYS, base=f"{root}/downloads").groupBy("event_date", "batch_id")
+        there = there.agg(F.count("*").alias("rows")).persist()
+        line = F.concat(F.lit('{"event_date": "'), "event_date", F.lit(f'", "fields": {json.dumps(fields)}}}'))
+        notes = there.select(line.alias("value"), F.lit(writer).alias("writer"), "batch_id")
+        notes = notes.repartition(16, "batch_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        notes.partitionBy("writer", "batch_id").text(f"{root}/written")
+        arrived = there.groupBy("batch_id").agg(F.sum("rows").alias("delivered"))
+        counts = files.drop("source_file").join(F.broadcast(arrived), "batch_id", "left").withColumn("writer", F.lit(writer))
+        counts = counts.select(*_COUNTED, F.coalesce("delivered", F.lit(0)).alias("delivered"), "writer", "batch_id")
+        _put(counts.repartition(16, "batch_id"), f"{root}/counts", _KEYS.names[1:])
+        there.unpersist()
+    finally:
+        files.unpersist()
+        rows.unpersist()
+
+
+def _fitting(spark: SparkSession, root: str, writer: str, fields: list[dict] | None) -> list[dict]:
+    """The schema of rows to write, which has to fit the table's."""
+    from tallyline.plans.evolve import check_change
+
+    if not re.fullmatch(r"[A-Za-z0-9_-]{1,64}", writer or ""):
+        raise ValueError("a writer's id has 1 to 64 letters, digits, '-' and '_'")
+    declared = current_fields(spark, root)
+    fields = fields or declared or DOWNLOADS
+    if declared is not None and declared != fields:
+        check_change(spark, fields, declared)
+    return fields
+
+
+def _with_ids(rows: DataFrame, writer: str) -> DataFrame:
+    place = F.concat_ws("/", F.lit(writer), F.col("batch_id").cast("string"), "source_file", F.col("position").cast("string"))
+    return rows.withColumns({"row_id": F.sha2(place, 256), "writer": F.lit(writer)})
+
+
+def _kept(rows: DataFrame, fields: list[dict]) -> DataFrame:
+    return rows.where(F.col("outcome") == "kept").select(*[field["name"] for field in fields], "row_id", *_KEYS.names)
+
+
+def _refused(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("outcome") == "rejected").select(*_REJECT.names, *_ORIGIN.names, "row_id", *_KEYS.names[1:])
+
+
 def _counts() -> list:
     """What is counted of a batch while it is written: lines, downloads, and refused lines by reason."""
     reason = F.col("reject_reason")
@@ -187,9 +240,10 @@ def write_downloads(
     write_rows(rows, root, writer, batch_id, fields=fields)
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
     try:
-        return spark.read.schema(schema).parquet(path)
+        reader = spark.read.schema(schema)
+        return (reader if base is None else reader.option("basePath", base)).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -237,7 +291,8 @@ def delivery_report(spark: SparkSession, root: str, due: DataFrame) -> DataFrame
 def compact_days(spark: SparkSession, root: str, days: list[str], writer: str) -> None:
     """Put the batches that a writer has finished for closed days into few files.
 
-    The writer's last batch stays as it is: only that one can be replayed. Rows go to the folder
+    The writer's last batch stays as it is, or where files are batches, those of its last trigger: only
+    these can be replayed. Rows go to the folder
     of batch ``COMPACTED``, then the folders they came from are deleted, and with them their records:
     a batch that has no day left leaves nothing behind. A run that was cut off in between has left rows
     twice; the next one finds them by their id. Refused lines have no day; those of all finished
@@ -249,7 +304,8 @@ def compact_days(spark: SparkSession, root: str, days: list[str], writer: str) -
     last = table.agg(F.max("batch_id")).first()[0]
     if last is None:
         return
-    old = table.where(F.col("event_date").isin(days) & (F.col("batch_id") < F.lit(last)))
+    open_from = last if last < PER_TRIGGER else last // PER_TRIGGER * PER_TRIGGER
+    old = table.where(F.col("event_date").isin(days) & (F.col("batch_id") < F.lit(open_from)))
     folders = {tuple(r) for r in old.select("event_date", "batch_id").distinct().collect()}
     copy = store(old.dropDuplicates(["event_date", "row_id"]), "compact")
     copy = copy.withColumn("batch_id", F.lit(COMPACTED)).hint("rebalance", "event_date")
@@ -259,17 +315,18 @@ def compact_days(spark: SparkSession, root: str, days: list[str], writer: str) -
 
     notes: dict[int, dict[str, list[dict]]] = {}
     touched = {batch for _, batch in done} | {COMPACTED}
-    for row in stored_notes(spark, root).where(mine & F.col("batch_id").isin(sorted(touched))).collect():
+    # Of batches whose rows have moved, the other days; a stream has thousands of batches, most of them without any.
+    among = F.broadcast(spark.createDataFrame([(batch,) for batch in sorted(touched)], "batch_id bigint"))
+    stays = mine & ((F.col("batch_id") == COMPACTED) | ~F.col("event_date").isin(days))
+    for row in stored_notes(spark, root).where(stays).join(among, "batch_id", "left_semi").collect():
         notes.setdefault(row.batch_id, {})[row.event_date] = json.loads(row.fields)
-    for day, batch in done:
-        notes.get(batch, {}).pop(day, None)
     notes.setdefault(COMPACTED, {}).update({day: fields for day, _ in folders})
     for batch in sorted(touched):
         if notes.get(batch):
             note(spark, root, writer, batch, notes[batch])
     _delete_all(spark, [f"{root}/written/writer={writer}/batch_id={b}" for b in touched if not notes.get(b)])
 
-    refused = read_rejects(spark, root).where(mine & (F.col("batch_id") < F.lit(last)) & (F.col("batch_id") >= 0))
+    refused = read_rejects(spark, root).where(mine & (F.col("batch_id") < F.lit(open_from)) & (F.col("batch_id") >= 0))
     finished = [r.batch_id for r in refused.select("batch_id").distinct().collect()]
     if len(finished) > 1:
         copy = store(refused.dropDuplicates(["row_id"]), "compact").withColumn("batch_id", F.lit(-1 - last))

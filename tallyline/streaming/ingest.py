@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.plans.downloads import parse_lines
-from tallyline.plans.table import current_fields, to_rows, write_rows
+from tallyline.plans.table import current_fields, to_rows, write_by_file, write_rows
 from tallyline.schema import DOWNLOADS
 from tallyline.sources.text import mark_truncated
 
@@ -31,9 +31,12 @@ def ingest(
     flush_seconds: int = FLUSH_SECONDS,
     parse: Callable[..., DataFrame] = parse_lines,
     check_tail: bool = False,
+    by_file: bool = False,
 ) -> StreamingQuery:
     """Start the stream: every trigger writes one batch, an empty one writes nothing.
 
+    ``by_file`` makes each file a batch, however many a trigger takes, see :func:`write_by_file`.
+
     There is no watermark: a late event goes to the folder of its own day. Writer and number are
     part of a batch's folder, so a batch replayed after a failure replaces itself. Every batch is
     parsed in the schema that the table has at the time, so a change reaches the stream without a
@@ -49,7 +52,8 @@ def ingest(
             batch = mark_truncated(batch)
         fields = current_fields(spark, root) or DOWNLOADS
         rows = to_rows(parse(batch, token, fields=fields), fields)
-        write_rows(rows, root, writer_of(spark, checkpoint), number, fields=fields)
+        put = write_by_file if by_file else write_rows
+        put(rows, root, writer_of(spark, checkpoint), number, fields=fields)
 
     writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if once else {"processingTime": f"{flush_seconds} seconds"}

@@ -135,6 +135,47 @@ def stream_table(spark):
     return root
 
 
+def test_files_are_batches_however_many_a_trigger_takes(spark, tmp_path):
+    path, root, checkpoint = (f"file://{tmp_path}/{n}" for n in ("lines", "table", "checkpoint"))
+    made = lines_of(spark, SF_DIR).withColumn("part", F.floor(F.col("line_id") / 250))
+
+    def run():
+        source = stream_lines(spark, f"{path}/*", max_files_per_trigger=100)
+        ingest(source, root, checkpoint, TOKEN, once=True, by_file=True).awaitTermination()
+        counts = sorted((r.batch_id, r.rows_in, r.kept, r.delivered) for r in table.batch_counts(spark, root).collect())
+        held = {tuple(r) for r in table.read_downloads(spark, root).groupBy("batch_id").count().collect()}
+        noted = {(r.event_date, r.batch_id) for r in table.stored_notes(spark, root).collect()}
+        assert held == {(batch, n) for batch, _, n, _ in counts}
+        assert noted == {(r.event_date, r.batch_id) for r in table.deliveries(spark, root).collect()}
+        return counts
+
+    for parts in ((0, 1, 2), (3,)):
+        made.where(F.col("part").isin(*parts)).select("part", F.col("raw").cast("string").alias("value")).repartition(
+            "part"
+        ).write.mode("append").partitionBy("part").text(path)
+        counts = run()
+    # Two triggers, four batches, none of them empty.
+    assert [batch for batch, *_ in counts] == [1_000_000, 1_000_001, 1_000_002, 2_000_000]
+    assert all((rows_in, kept) == (250, delivered) for _, rows_in, kept, delivered in counts)
+    ids = table.read_downloads(spark, root).agg(F.count("*"), F.countDistinct("row_id"))
+    before = ids.first()
+    # The last trigger runs again, as after a failure.
+    for name in ("1", ".1.crc"):
+        (tmp_path / "checkpoint/commits" / name).unlink()
+    assert run() == counts
+    ids = table.read_downloads(spark, root).agg(F.count("*"), F.countDistinct("row_id"))
+    assert ids.first() == before and before[0] == before[1]
+    # All batches of the last trigger may run again, so compaction leaves them.
+    writer = table.deliveries(spark, root).first().writer
+    days = [r.event_date for r in table.read_downloads(spark, root).select("event_date").distinct().collect()]
+    table.compact_days(spark, root, days, writer)
+    assert {r.batch_id for r in table.deliveries(spark, root).select("batch_id").distinct().collect()} == {table.COMPACTED, 2_000_000}
+    assert table.read_downloads(spark, root).count() == before[0]
+    assert {(r.event_date, r.batch_id) for r in table.stored_notes(spark, root).collect()} == {
+        (r.event_date, r.batch_id) for r in table.deliveries(spark, root).collect()
+    }
+
+
 def test_counts_need_no_second_look(spark, stream_table):
     counts = table.batch_counts(spark, stream_table)
     total = counts.agg(*[F.sum(c).alias(c) for c in counts.columns[:-2]]).first().asDict()
