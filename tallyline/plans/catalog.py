@@ -494,9 +494,9 @@ def ua_handlers(spark, sf_dir):
 def _counted(spark: SparkSession, sf_dir: str) -> str:
     """Counts of a stream that is stopped, started again with more files, and runs a batch twice."""
     path, out, checkpoint = (work_folder(spark, name) for name in ("lines", "counts", "checkpoint"))
-    for part in (0, 1):
-        _write_files(_lines(spark, sf_dir).where(F.floor(F.col("line_id") / CHUNK) % 2 == part), f"{path}/part={part}")
-        source = stream_lines(spark, f"{path}/*/*", max_files_per_trigger=1)
+    for part in (0, 1, 2):
+        _write_files(_lines(spark, sf_dir).where(F.floor(F.col("line_id") / CHUNK) % 3 == part), f"{path}/part={part}")
+        source = stream_lines(spark, f"{path}/*/*", max_files_per_trigger=FILES)
         counters.count_agents(source, out, checkpoint, TOKEN, once=True).awaitTermination()
     counters.compact_counts(spark, out)
     return out
