@@ -597,11 +597,14 @@ LANES = 3
 
 
 def _await(query: StreamingQuery, done: Callable[[], bool], seconds: int = 240) -> None:
-    """Wait for a stream that never runs dry, as its timers keep it going."""
-    limit = time.monotonic() + seconds
+    """Wait for a stream that never runs dry, as its timers keep it going; the limit is for a time without new rows."""
+    limit, seen = time.monotonic() + seconds, -1
     while not done():
         if query.exception() is not None:
             raise query.exception()
+        took_in = max((p.batchId for p in query.recentProgress if p.numInputRows), default=-1)
+        if took_in > seen:
+            limit, seen = time.monotonic() + seconds, took_in
         if time.monotonic() > limit or not query.isActive:
             raise TimeoutError(f"the stream got no further: {query.lastProgress}")
         time.sleep(0.3)
@@ -615,8 +618,8 @@ def _delivered(spark: SparkSession, sf_dir: str, flush_seconds: float, ends: Cal
         mine = _lines(spark, sf_dir).where(F.floor(F.col("line_id") / CHUNK) % 2 == part)
         _write_files(mine, f"{path}/part={part}")
         due, read = mine.count(), {}
-        source = stream_lines(spark, f"{path}/*/*", max_files_per_trigger=1)
-        query = deliver(source, out, checkpoint, TOKEN, lane=lane, flush_seconds=flush_seconds)
+        source = stream_lines(spark, f"{path}/*/*", max_files_per_trigger=FILES)
+        query = deliver(source, out, checkpoint, TOKEN, LANES, lane, flush_seconds=flush_seconds)
 
         def all_read() -> bool:
             read.update({p.batchId: p.numInputRows for p in query.recentProgress})

@@ -101,7 +101,7 @@ def deliver(
 ) -> StreamingQuery:
     """Start the stream from lines of :func:`tallyline.sources.text.stream_lines` to deliveries in ``path``.
 
-    ``lane`` (a whole number from the columns of a parsed line) is by file unless given. Each file is
+    ``lane`` (a whole number from the columns of a parsed line, of ``lanes`` values) is by file unless given. Each file is
     read as one split, so that a row's id, made from file and byte, stays the same whatever reads it.
     """
     spark = lines.sparkSession
@@ -130,6 +130,8 @@ def deliver(
         .trigger(processingTime=f"{trigger_seconds} seconds")
     )
     settings = _STATE_STORE | {"spark.sql.files.maxPartitionBytes": str(1 << 40), "spark.sql.files.openCostInBytes": str(1 << 40)}
+    # Every partition of the state is a task with a Python process in each trigger, and lanes are all there is to share out.
+    settings["spark.sql.shuffle.partitions"] = str(2 * lanes)
     before = {key: spark.conf.get(key, None) for key in settings}
     try:
         for key, value in settings.items():

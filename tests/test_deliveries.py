@@ -2,12 +2,13 @@
 
 import glob
 import json
+import uuid
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.plans import evolve, table
+from tallyline.plans import catalog, evolve, table
 from tallyline.plans.downloads import kept, parse_lines
 from tallyline.schema import DOWNLOADS, NULLABLE
 from tallyline.session import work_folder
@@ -176,6 +177,25 @@ def test_files_are_batches_however_many_a_trigger_takes(spark, tmp_path):
     }
 
 
+@pytest.fixture
+def many_files(monkeypatch, tmp_path):
+    """Ten files where a query writes files; the folders of its streams."""
+    monkeypatch.setattr(catalog, "CHUNK", 100)
+    monkeypatch.setattr(catalog, "work_folder", lambda _, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    return lambda inside: len(glob.glob(f"{tmp_path}/checkpoint-*/{inside}"))
+
+
+def test_triggers_of_counts_do_not_grow_with_files(spark, many_files):
+    catalog._counted(spark, SF_DIR)
+    assert many_files("commits/[0-9]*") == 3  # one for each start
+
+
+def test_triggers_and_tasks_of_deliveries_do_not_grow_with_files(spark, many_files):
+    catalog._delivered(spark, SF_DIR, 86_400, lambda _: True)
+    assert many_files("sources/0/[0-9]*") == 2  # one for each start
+    assert many_files("state/0/[0-9]*") == 2 * catalog.LANES
+
+
 def test_counts_need_no_second_look(spark, stream_table):
     counts = table.batch_counts(spark, stream_table)
     total = counts.agg(*[F.sum(c).alias(c) for c in counts.columns[:-2]]).first().asDict()
