@@ -6,6 +6,8 @@ to is known without parsing it.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +71,9 @@ AGENTS = [
     "An agent nobody has heard of",
 ]
 
+#: Lines that one task makes: an event takes 20 bytes where it is stored, and its line some hundreds.
+TASK_LINES = 20_000
+
 # Shapes of lines 20 to 31 are refused; 18 and 19 bring an agent of their own.
 SHAPES = 32
 
@@ -144,5 +149,13 @@ def log_lines(events: DataFrame, copies: int = 1) -> DataFrame:
 
 
 def lines_of(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
-    """The lines for a folder of test tables."""
-    return log_lines(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id"), copies)
+    """The lines for a folder of test tables, in order, by as many tasks as their number asks for.
+
+    A file of events may be one row group, and a group of a million rows is read by one task, which would make
+    and parse their lines too. So events are dealt by ranges of their number first.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id")
+    tasks = ceil(events.count() * copies / TASK_LINES)
+    if tasks > 1:
+        events = events.repartitionByRange(tasks, "event_id").sortWithinPartitions("event_id")
+    return log_lines(events, copies)

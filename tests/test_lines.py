@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyline.plans.downloads import assemble, event_date, kept, parse_lines, reason_counts
+from tallyline.sources.synth import TASK_LINES, lines_of
 
 EVENT = (
     "2@Tue, 05 Mar 2024 23:58:07 GMT|BR|/packages/q7/meadow_kit-4.11.tar.gz|TLSv1.3|AES256-GCM-SHA384|"
@@ -173,3 +174,12 @@ def test_reasons_add_up(spark):
     counts = {row.outcome: row.lines for row in reason_counts(parse_lines(df)).collect()}
     assert sum(counts.values()) == len(EVENTS)
     assert counts["kept"] == sum(reason is None for _, reason in EVENTS)
+
+
+def test_lines_are_made_by_many_tasks(spark):
+    """Whatever the row groups of the events: those of sf0.1 are one."""
+    made = lines_of(spark, "/root/testdata/sf0.1").select("line_id", F.spark_partition_id().alias("task"))
+    tasks = made.groupBy("task").agg(F.count("*").alias("n"), F.min("line_id").alias("a"), F.max("line_id").alias("b")).collect()
+    assert len(tasks) == 5 and max(t.n for t in tasks) < 2 * TASK_LINES
+    assert all(t.b - t.a + 1 == t.n for t in tasks), "each has lines that follow each other"
+    assert sum(t.n for t in tasks) == 100_000
