@@ -23,8 +23,10 @@ what a pair has to agree on besides them is its ``need``.
   goes to the nearest (its Voronoi region), and is replicated to each other whose distance is at most
   2 * ``eps`` larger, as the triangle inequality demands; the regions are treated in the same way
   again. Where that would double a region it stays whole, without its pivots, which were compared with all of it.
-* What is left is joined block by block, a pair of blocks to a task; a task returns no more links
-  than it takes to connect what it found connected.
+* What is left is joined block by block, a pair of blocks to a task. A set goes to many of these, so sketches go
+  there first: the parity of the shingles at each of some bits. Two sets differ in at least as many shingles as
+  their sketches do in bits, which parts most pairs for certain. Only the contents of sets with a pair that may be
+  linked follow; a task returns no more links than it takes to connect what it found connected.
 
 So no link between two different sets is lost: each is found, or its ends are connected by
 others. Equal sets are one node throughout. Links are returned as components; their number is not.
@@ -54,6 +56,8 @@ SMALL, BLOCK, PIVOTS, ROUNDS = 16, 1500, 8, 3
 MAX_BROADCAST_ROWS = 1_000_000
 #: Sets that a task remembers as already sent.
 SEEN = 200_000
+#: Bits of the smallest and of the largest sketch; in between it has two bits a shingle at least.
+SKETCH_BITS = 64, 131_072
 
 
 def shingles(text: str | None, n: int, words: WordHashes) -> np.ndarray:
@@ -75,6 +79,33 @@ def node_of(found: np.ndarray) -> int:
     return int(mix(np.array([total]))[0].astype(np.int64))
 
 
+def sketch_of(found: np.ndarray) -> bytes:
+    """The parity of the number of hashes at each bit; half as many bits are the halves' exclusive or."""
+    least, most = SKETCH_BITS
+    bits = max(least, min(most, 1 << (2 * len(found) - 1).bit_length()))
+    at = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((at & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(sketches: list[bytes], sizes: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Of which pairs of sets the sketches and sizes leave open that they are linked, as a matrix."""
+    width = min(map(len, sketches))
+    rows = np.empty((len(sketches), width // 8), np.uint64)
+    for i, sketch in enumerate(sketches):
+        x = np.frombuffer(sketch, np.uint64)
+        while len(x) > width // 8:
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        rows[i] = x
+    out = np.zeros((len(rows), len(rows)), bool)
+    step = max(1, 4_000_000 // rows.size)
+    for i in range(0, len(rows), step):
+        differ = np.bitwise_count(rows[i : i + step, None, :] ^ rows[None, :, :]).sum(axis=2, dtype=np.int64)
+        differ = np.maximum(differ, np.abs(sizes[i : i + step, None] - sizes[None, :]))
+        # |x & y| / |x u y| = (s - d) / (s + d), with the sum of the sizes and the size of the difference.
+        out[i : i + step] = (sizes[i : i + step, None] + sizes[None, :]) * (den - num) >= differ * (den + num)
+    return out
+
+
 class Signatures:
     """Keys of which each linked pair of sets shares as many as both need.
 
@@ -189,7 +220,7 @@ def _rows(made: list[tuple[np.ndarray, ...]], nodes: list[np.ndarray]) -> pa.Rec
 
 
 def _contents(docs: DataFrame, n: int) -> DataFrame:
-    """``node, found``: the hashes of each set."""
+    """``node, found, sketch``: the hashes of each set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
@@ -201,11 +232,12 @@ def _contents(docs: DataFrame, n: int) -> DataFrame:
                     [
                         pa.array([node_of(x) for x in part], pa.int64()),
                         pa.array([x.astype(np.int64) for x in part], pa.list_(pa.int64())),
+                        pa.array([sketch_of(x) for x in part], pa.binary()),
                     ],
-                    names=["node", "found"],
+                    names=["node", "found", "sketch"],
                 )
 
-    return docs.select("text").mapInArrow(run, "node bigint, found array<bigint>")
+    return docs.select("text").mapInArrow(run, "node bigint, found array<bigint>, sketch binary")
 
 
 def components(store: Stored, edges: DataFrame) -> DataFrame:
@@ -428,7 +460,8 @@ def _join_blocks(regions: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
     """Links ``a, b`` within regions, found by pairs of blocks.
 
     A region of one block is one group; a larger one gives a group for each pair of its blocks,
-    so no task holds more than two blocks.
+    so no task holds more than two blocks. A group falls into parts by the pairs that sketches leave
+    open, and only these parts get the contents of their sets.
     """
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -448,9 +481,46 @@ def _join_blocks(regions: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
         a, b = connect(nodes, roots, found, num, den)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    # Regions of the same members are joined once.
-    spread = _named_by_members(spread.distinct()).distinct()
-    return spread.join(sets, "node").groupBy("sig").applyInArrow(run, "a bigint, b bigint")
+    # Regions of the same members are joined once, and so are parts.
+    spread = _open_parts(_named_by_members(spread.distinct()).distinct(), sets, num, den)
+    spread = _named_by_members(spread).distinct()
+    return spread.join(sets.select("node", "found"), "node").groupBy("sig").applyInArrow(run, "a bigint, b bigint")
+
+
+def _open_parts(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``sig, node, root`` of the parts of groups that pairs connect which their sketches leave open."""
+    kept = ["sig", "part", "node", "root"]
+
+    def open_parts(group: pa.Table) -> pa.Table:
+        nodes, roots, size = (group.column(c).to_numpy() for c in ("node", "root", "size"))
+        pairs = may_link(group.column("sketch").to_pylist(), size, num, den) & (roots[:, None] != roots[None, :])
+        part = parts(pairs)
+        some = np.flatnonzero(pairs.any(axis=1))
+        # A part is named by its first member, whatever the order of rows.
+        first = np.full(len(nodes), np.iinfo(np.int64).max)
+        np.minimum.at(first, part, nodes)
+        columns = [group.column("sig").take(some), first[part[some]], nodes[some], roots[some]]
+        return pa.table({c: pa.array(x) if isinstance(x, np.ndarray) else x for c, x in zip(kept, columns)})
+
+    sketches = sets.select("node", "sketch", F.size("found").cast("long").alias("size"))
+    found = groups.join(sketches, "node").groupBy("sig").applyInArrow(open_parts, ", ".join(f"{c} bigint" for c in kept))
+    return found.select(F.xxhash64("sig", "part").alias("sig"), "node", "root")
+
+
+def parts(pairs: np.ndarray) -> np.ndarray:
+    """The connected part of each row of a symmetric matrix of pairs, as a number."""
+    part, left = np.full(len(pairs), -1), np.ones(len(pairs), bool)
+    for start in range(len(pairs)):
+        if not left[start]:
+            continue
+        reached, left[start] = [start], False
+        while reached:
+            at = reached.pop()
+            part[at] = start
+            new = pairs[at] & left
+            left &= ~new
+            reached.extend(np.flatnonzero(new).tolist())
+    return part
 
 
 def _named_by_members(groups: DataFrame) -> DataFrame:

@@ -109,3 +109,37 @@ def test_names_of_groups_do_not_depend_on_the_order_of_rows(spark):
     assert len(names) == 1
     other = spark.createDataFrame([(1, x, x) for x in nodes[1:]], "sig long, node long, root long")
     assert not names & {x.sig for x in jaccard._named_by_members(other).collect()}
+
+
+def _hashes(r, size):
+    return {r.randrange(2**64) for _ in range(size)}
+
+
+def test_sketches_lose_no_link():
+    r = random.Random(6)
+    for num, den in ((90, 100), (80, 100)):
+        for _ in range(400):
+            a = _hashes(r, r.choice([1, 2, 9, 40, 300, 5000]))
+            b = set(sorted(a)[r.randint(0, len(a) // 8) :]) | _hashes(r, r.randint(0, len(a) // 8))
+            sets = [np.array(sorted(x), np.uint64) for x in (a, b, _hashes(r, 1))]
+            open_pairs = jaccard.may_link([jaccard.sketch_of(x) for x in sets], np.array([len(x) for x in sets]), num, den)
+            assert open_pairs[0, 1] == open_pairs[1, 0] and (open_pairs[0, 1] or den * len(a & b) < num * len(a | b))
+
+
+def test_contents_go_only_where_sketches_leave_a_pair_open(spark):
+    """Sets that share a passage fill many large regions; before, each region got all their contents."""
+    r = random.Random(7)
+    passage = _hashes(r, 60)
+    found = [passage | _hashes(r, 240) for _ in range(80)]
+    found.append(set(sorted(found[0])[:-10]))  # linked with the first, and only with it
+    arrays = [np.array(sorted(x), np.uint64) for x in found]
+    nodes = [jaccard.node_of(x) for x in arrays]
+    rows = [(n, x.astype(np.int64).tolist(), bytearray(jaccard.sketch_of(x))) for n, x in zip(nodes, arrays)]
+    sets = spark.createDataFrame(rows, "node long, found array<long>, sketch binary")
+    regions = [(sig, n, n, len(nodes) - sig) for sig in range(5) for n in nodes[: len(nodes) - sig]]
+    regions += [(5, n, n, len(nodes)) for n in nodes]
+    df = spark.createDataFrame(regions, "sig long, node long, root long, members long")
+    opened = jaccard._open_parts(df.select("sig", "node", "root"), sets, 80, 100).collect()
+    assert {x.node for x in opened} == {nodes[0], nodes[-1]} and len(opened) == 4
+    links = {frozenset(x) for x in jaccard._join_blocks(df, sets, 80, 100).collect()}
+    assert links == {frozenset((nodes[0], nodes[-1]))}
