@@ -56,6 +56,8 @@ SMALL, BLOCK, PIVOTS, ROUNDS = 16, 1500, 8, 3
 MAX_BROADCAST_ROWS = 1_000_000
 #: Sets that a task remembers as already sent.
 SEEN = 200_000
+#: Keys that a task holds before it passes them on.
+HELD = 100_000
 #: Bits of the smallest and of the largest sketch; in between it has two bits a shingle at least.
 SKETCH_BITS = 64, 131_072
 
@@ -204,7 +206,7 @@ def _signatures(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 made.append(keys.of(found))
                 nodes.append(np.full(len(made[-1][0]), node, np.int64))
                 held += len(nodes[-1])
-                if held > 500_000:
+                if held > HELD:
                     yield _rows(made, nodes)
                     made, nodes, held = [], [], 0
             if made:
@@ -225,9 +227,9 @@ def _contents(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            found = [x for t in batch.column(0) if len(x := shingles(t.as_py(), n, words))]
-            for i in range(0, len(found), 1000):
-                part = found[i : i + 1000]
+            for i in range(0, batch.num_rows, 1000):
+                rows = batch.column(0).slice(i, 1000)
+                part = [x for t in rows if len(x := shingles(t.as_py(), n, words))]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([node_of(x) for x in part], pa.int64()),
