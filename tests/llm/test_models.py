@@ -120,6 +120,38 @@ def test_url_models_tell_hosts_apart():
     assert url_lm.calibrate(many, np.array([0.0, 1.0]), 0.1) == 5.5 and url_lm.calibrate(many, np.array([0.0, 1.0]), 0.0) < -1
 
 
+def test_url_models_count_every_labelled_address(spark):
+    """Scores equal those of models made in one place of all examples; more than a sample of 4,000 a class was, before."""
+    import zlib
+
+    r = random.Random(8)
+    stems = {True: ["green", "meadow", "rivér", "hill"], False: ["pills", "casino", "bets", "𝐀win"]}
+    rows = {}
+    for side in (True, False):
+        while sum(x is side for x in rows.values()) < 4500:
+            rows[f"{r.choice(stems[side])}{r.choice(stems[side])}{r.randint(1, 99)}/{r.randint(1, 9999)}"] = side
+    rows |= {"unlabelled/1": None, "greencasino/zzz": None, "": True}
+    model = {side: url_lm.CharModel({}, {}, {}) for side in (True, False)}
+    for address, side in rows.items():
+        if side is None or not address or zlib.crc32(address.encode()) % 5 == 0:
+            continue
+        m, padded = model[side], url_lm.START * url_lm.ORDER + address + url_lm.END
+        for i in range(url_lm.ORDER, len(padded)):
+            for k in range(url_lm.ORDER + 1):
+                gram = padded[i - k : i + 1]
+                m.kinds[gram[:-1]] = m.kinds.get(gram[:-1], 0) + (gram not in m.after)
+                m.after[gram] = m.after.get(gram, 0) + 1
+                m.total[gram[:-1]] = m.total.get(gram[:-1], 0) + 1
+    ratio = url_lm.Ratio(model[True], model[False], 0.0)
+    scores, threshold = url_lm.fit(spark.createDataFrame(list(rows.items()), "address string, accepted boolean"))
+    got = {x.address: x.score for x in scores.collect()}
+    assert got.keys() == rows.keys() - {""}
+    some = [*r.sample(sorted(got), 500), "unlabelled/1", "greencasino/zzz"]
+    assert all(got[a] == pytest.approx(ratio.score(a), abs=1e-6) for a in some)
+    kept = {s: np.array([got[a] for a in got if rows[a] is s and zlib.crc32(a.encode()) % 5 == 0]) for s in (True, False)}
+    assert (kept[True] >= threshold).mean() >= 0.99 and (kept[False] < threshold).mean() > 0.99
+
+
 def test_url_verdicts_on_hosts_without_a_rule(spark):
     """Ordinary hosts pass in every language, hosts with a listed word do not."""
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
