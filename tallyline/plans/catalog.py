@@ -17,7 +17,7 @@ from tallyline.operators import agent_table, agents, batches, conform, events, l
 from tallyline.plans import downloads, evolve, named, table
 from tallyline.schema import DOWNLOADS, NULLABLE, REQUIRED
 from tallyline.session import configure, delete, store, work_folder
-from tallyline.sources.synth import TOKEN, lines_of
+from tallyline.sources.synth import BLOCK, TOKEN, lines_of
 from tallyline.sources import deliveries
 from tallyline.sources.positions import ADDED, read_in_order
 from tallyline.sources.text import mark_truncated, read_lines, stream_lines
@@ -25,7 +25,7 @@ from tallyline.streaming import counters
 from tallyline.streaming.deliver import deliver
 from tallyline.streaming.ingest import ingest
 
-CHUNK = 2500  # lines per file where a query needs files
+CHUNK = BLOCK  # lines per file where a query needs files; one task makes all of them
 FILES = 200  # files that a trigger of a stream takes at most, whatever the number of files
 
 DETAILS = {
@@ -104,12 +104,14 @@ def _agents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_files(df: DataFrame, path: str) -> None:
-    """One text file per chunk of lines, in order of the lines."""
+    """One text file per chunk of lines, in order of the lines; ``df`` is what ``lines_of`` gives, or some of it.
+
+    A chunk is in one task there, so nothing but events is shuffled.
+    """
     # Numbers of the same width, so that names are in the order of the lines.
     chunk = F.format_string("%08d", F.floor(F.col("line_id") / CHUNK))
     (
         df.select(chunk.alias("chunk"), "line_id", F.col("raw").cast("string").alias("value"))
-        .repartition("chunk")
         .sortWithinPartitions("chunk", "line_id")
         .select("chunk", "value")
         .write.partitionBy("chunk")
@@ -156,7 +158,6 @@ def _cut_files(spark: SparkSession, sf_dir: str) -> str:
     (
         df.where(chunk % 2 == 1)
         .select(chunk.alias("chunk"), "line_id", F.concat(F.lit("\n"), F.col("raw").cast("string")).alias("value"))
-        .repartition("chunk")
         .sortWithinPartitions("chunk", "line_id")
         .select("chunk", "value")
         .write.partitionBy("chunk")

@@ -16,6 +16,9 @@ SETTINGS = {
     # The JVM leaves methods over 8000 bytes interpreted. Above that, plain
     # projections, which Spark splits into small methods, are much faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Folders listed by tasks, as many in one task as it takes. By default each folder is a task of its own,
+    # which costs far more than the listing where a table or a backlog has a folder per file.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 

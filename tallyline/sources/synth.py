@@ -73,6 +73,8 @@ AGENTS = [
 
 #: Lines that one task makes: an event takes 20 bytes where it is stored, and its line some hundreds.
 TASK_LINES = 20_000
+#: Numbers of events that no two tasks share.
+BLOCK = 2_500
 
 # Shapes of lines 20 to 31 are refused; 18 and 19 bring an agent of their own.
 SHAPES = 32
@@ -152,10 +154,11 @@ def lines_of(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
     """The lines for a folder of test tables, in order, by as many tasks as their number asks for.
 
     A file of events may be one row group, and a group of a million rows is read by one task, which would make
-    and parse their lines too. So events are dealt by ranges of their number first.
+    and parse their lines too. So events are dealt by ranges of their number first, and a block of ``BLOCK`` numbers
+    stays in one task: files of whole blocks need no shuffle of lines, which are many times the size of events.
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id")
     tasks = ceil(events.count() * copies / TASK_LINES)
-    if tasks > 1:
-        events = events.repartitionByRange(tasks, "event_id").sortWithinPartitions("event_id")
-    return log_lines(events, copies)
+    # What is made by one task may still be several files.
+    dealt = events.repartitionByRange(tasks, F.floor(F.col("event_id") / BLOCK)) if tasks > 1 else events.coalesce(1)
+    return log_lines(dealt.sortWithinPartitions("event_id"), copies)

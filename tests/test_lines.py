@@ -2,12 +2,17 @@
 
 import datetime as dt
 import random
+import re
+from glob import glob
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyline.plans.catalog import CHUNK, _write_files
 from tallyline.plans.downloads import assemble, event_date, kept, parse_lines, reason_counts
+from tallyline.session import configure
 from tallyline.sources.synth import TASK_LINES, lines_of
+from tallyline.sources.text import read_lines
 
 EVENT = (
     "2@Tue, 05 Mar 2024 23:58:07 GMT|BR|/packages/q7/meadow_kit-4.11.tar.gz|TLSv1.3|AES256-GCM-SHA384|"
@@ -183,3 +188,35 @@ def test_lines_are_made_by_many_tasks(spark):
     assert len(tasks) == 5 and max(t.n for t in tasks) < 2 * TASK_LINES
     assert all(t.b - t.a + 1 == t.n for t in tasks), "each has lines that follow each other"
     assert sum(t.n for t in tasks) == 100_000
+
+
+def test_no_two_tasks_share_a_file(spark, tmp_path):
+    """So files are written where their lines are made, without a shuffle of lines; also of events in many small files."""
+    sf = str(tmp_path)
+    events = spark.read.parquet("/root/testdata/sf0.1/events.parquet").where("event_id % 7 > 0 AND event_id < 18000")
+    events.repartition(6).write.parquet(f"{sf}/events.parquet")
+    for folder in (sf, "/root/testdata/sf0.1"):
+        task = F.spark_partition_id().alias("task")
+        made = lines_of(spark, folder).select(F.floor(F.col("line_id") / CHUNK).alias("chunk"), task)
+        assert made.groupBy("chunk").agg(F.countDistinct("task").alias("n")).where("n > 1").count() == 0
+    _write_files(lines_of(spark, sf), f"{sf}/lines")
+    names = sorted(glob(f"{sf}/lines/*/*.txt"))
+    assert len(names) == 8, "one per 2,500 numbers"
+    found = [int(re.search(r"collector\[(\d+)\]", line)[1]) for name in names for line in open(name, errors="replace")]
+    assert found == sorted(found) and found == [n for n in range(18000) if n % 7]
+
+
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    """A backlog has a folder per file; a task for each of them costs far more than the listing."""
+    for number in range(150):
+        (tmp_path / f"chunk={number}").mkdir()
+        (tmp_path / f"chunk={number}" / "a.txt").write_text("x\n")
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        df = read_lines(configure(spark), f"{tmp_path}/*")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= 64
+    assert df.count() == 150
