@@ -49,10 +49,12 @@ def parse_lines(
     df = lines.mark_oversize(df, max_line_size)
     df = lines.strip_token(df, token)
     df = df.withColumn("body", F.when(_frame_reason().isNull(), F.col("body")))
+    # As text the same bytes pass through the steps without a copy of them being made at each, as for BINARY.
+    df = df.withColumn("raw", F.col("raw").cast("string"))
     df = lines.syslog_envelope(lines.decode(df))
     line_reason = (
         _frame_reason()
-        .when(F.col("body").isNull(), "bad_token")
+        .when(F.col("line").isNull(), "bad_token")
         .when(F.col("message").isNull(), "unparseable_syslog")
         .when(F.col("facility") >= len(lines.FACILITIES), "bad_facility")
         .when(F.col("syslog_time").isNull(), "bad_syslog_timestamp")
@@ -74,7 +76,8 @@ def parse_lines(
         .when(F.col("ua_status") == agents.MALFORMED, "malformed_details")
         .when(F.col("ua_status") == agents.IGNORED, "ignored_agent")
     )
-    return pin(df, "reject_reason", agent_reason).drop("body", "line", "oversize", "truncated", "event_ok")
+    df = pin(df, "reject_reason", agent_reason).withColumn("raw", F.col("raw").cast("binary"))
+    return df.drop("body", "line", "oversize", "truncated", "event_ok")
 
 
 def kept(parsed: DataFrame) -> DataFrame:

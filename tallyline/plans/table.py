@@ -59,18 +59,20 @@ def to_rows(parsed: DataFrame, fields: list[dict] = DOWNLOADS, carry: Iterable[s
     keep = F.col("reject_reason").isNull()
     if "position" not in parsed.columns:
         parsed = parsed.withColumn("position", F.monotonically_increasing_id())
-    assembled = assemble(parsed)
+    # BINARY again where it is stored; see :func:`parse_lines`.
+    assembled = assemble(parsed).withColumn("raw", F.col("raw").cast("string"))
     names = [field["name"] for field in fields if field["name"] in assembled.columns]
     blank = assembled.withColumns({name: F.when(keep, F.col(name)) for name in names})
     lack = F.concat(F.lit("missing "), missing_path(fields))
     table = to_struct(fields)
     more = [blank.schema[name] for name in carry]
-    rows = blank.to(T.StructType([*table.fields, *_REJECT.fields, *_ORIGIN.fields, *more]))
+    passing = [T.StructField(name, T.StringType()) for name in _REJECT.names]
+    rows = blank.to(T.StructType([*table.fields, *passing, *_ORIGIN.fields, *more]))
     rows = rows.withColumn("reject_reason", F.coalesce("reject_reason", lack))
     kept = F.col("reject_reason").isNull()
     return rows.withColumns(
         {
-            "raw": F.when(~kept, F.col("raw")),
+            "raw": F.when(~kept, F.col("raw")).cast("binary"),
             "event_date": F.when(kept, event_date()),
             "outcome": F.when(kept, "kept").otherwise("rejected"),
         }

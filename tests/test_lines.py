@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyline.plans.catalog import CHUNK, _write_files
 from tallyline.plans.downloads import assemble, event_date, kept, parse_lines, reason_counts
+from tallyline.plans.table import to_rows
 from tallyline.session import configure
 from tallyline.sources.synth import TASK_LINES, lines_of
 from tallyline.sources.text import read_lines
@@ -220,3 +221,29 @@ def test_folders_are_listed_by_few_tasks(spark, tmp_path):
     stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
     assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= 64
     assert df.count() == 150
+
+
+def _steps_with_binary(df):
+    """How many of the plan's one-row generators, each of which copies its rows, pass a BINARY column."""
+    nodes, found = [df._jdf.queryExecution().optimizedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(n) for n in range(node.children().size())]
+        columns = [node.output().apply(n).dataType().simpleString() for n in range(node.output().size())]
+        found += node.nodeName() == "Generate" and "binary" in columns
+    return found
+
+
+def test_raw_lines_pass_as_text(spark, tmp_path):
+    """A BINARY column is copied twice at every step; the bytes themselves stay as they are."""
+    noise = [b"\xff\xfe tail\xc3", HEAD.encode() + b"\xf0\x28\x8c\x28", b"x" * 20_000, b"", HEAD.encode() + EVENT.encode()]
+    spark.createDataFrame([(line,) for line in noise], "raw binary").coalesce(1).write.parquet(f"{tmp_path}/lines")
+    df = spark.read.parquet(f"{tmp_path}/lines").withColumn("source_file", F.lit("a"))
+    parsed = parse_lines(df)
+    rows = to_rows(parsed)
+    assert parsed.schema["raw"].dataType.simpleString() == rows.schema["raw"].dataType.simpleString() == "binary"
+    assert [bytes(row.raw) for row in parsed.collect()] == noise
+    refused = rows.where("outcome = 'rejected'").select("raw", "reject_reason").collect()
+    assert sorted(bytes(row.raw) for row in refused) == sorted(noise[:4])
+    assert rows.where("outcome = 'kept' AND raw IS NOT NULL").count() == 0
+    assert _steps_with_binary(rows) == 0
